@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tickloom.functions.casts import blank_to_null, epoch_ms, instant, is_blank, to_decimal
@@ -45,6 +45,10 @@ def _loadable() -> Column:
     return condition
 
 
+def _refused() -> Column:
+    return ~F.coalesce(_loadable(), F.lit(False))
+
+
 def to_silver(bronze: DataFrame, transformed_at) -> DataFrame:
     """Typed rows. Bad text in an optional number becomes NULL; in a critical one it drops the row
     (see ``silver_rejects``)."""
@@ -56,6 +60,11 @@ def to_silver(bronze: DataFrame, transformed_at) -> DataFrame:
     )
 
 
+def count_refused(bronze: DataFrame, observation: Observation) -> DataFrame:
+    """``bronze`` unchanged; running it also counts the rows ``to_silver`` would drop, as ``refused``."""
+    return bronze.observe(observation, F.count_if(_refused()).alias("refused"))
+
+
 def silver_rejects(bronze: DataFrame, occurred_at) -> DataFrame:
     """The exact complement of ``to_silver`` as error-log rows."""
     absent = (F.col("symbol").isNull(), F.lit("Missing required field: 'symbol'"))
@@ -67,7 +76,7 @@ def silver_rejects(bronze: DataFrame, occurred_at) -> DataFrame:
     for c in CRITICAL_DECIMALS:
         is_gap = is_gap | is_blank(F.col(c))
     return error_rows(
-        bronze.filter(~F.coalesce(_loadable(), F.lit(False))),
+        bronze.filter(_refused()),
         source=F.lit("transformer"),
         error_type=F.when(is_gap, VALIDATION_ERROR).otherwise(CAST_ERROR),
         error_message=first_match([*gaps, *misfits]),

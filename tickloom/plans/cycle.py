@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
+from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tickloom.functions.casts import as_utc, floor_hour
@@ -51,8 +54,11 @@ def _bronze_between(store: Store, low: int, high: int) -> DataFrame:
 
 def _write_load(store: Store, load: Marker) -> None:
     rows = _bronze_between(store, load.low, load.high)
-    write_silver(store, silver.to_silver(rows, load.as_of), load.seq)
-    write_errors(store, silver.silver_rejects(rows, load.as_of), load.seq)
+    refused = Observation()
+    write_silver(store, silver.to_silver(silver.count_refused(rows, refused), load.as_of), load.seq)
+    # Ingest has checked the rows already, so most loads refuse none and need no second scan.
+    if refused.get.get("refused", 0):
+        write_errors(store, silver.silver_rejects(rows, load.as_of), load.seq)
     store.mark("loaded", load)
 
 
@@ -102,18 +108,31 @@ def _new_silver(store: Store, before: Marker, loaded: Marker) -> DataFrame:
     return rows.filter(F.col("load").between(before.high + 1, loaded.seq))
 
 
+def _together(steps: list[Callable[[], None]]) -> None:
+    """Runs independent jobs side by side, so small ones do not wait for each other."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        for step in [pool.submit(s) for s in steps]:
+            step.result()
+
+
 def refresh_gold(store: Store, as_of: datetime | str) -> Marker:
     """Brings the Gold tables up to the last Silver load."""
     moment = as_utc(as_of)
     before, loaded = store.marker("gold"), store.marker("loaded")
     seq = before.seq + 1
-    latest = gold.refresh_latest(store.slot("gold.latest_prices", before.seq), _new_silver(store, before, loaded))
-    store.replace_slot(latest, "gold.latest_prices", seq)
-    stored = store.slot("gold.latest_prices", seq)
-    store.replace_slot(gold.top_gainers(stored, moment), "gold.top_gainers", seq)
-    store.replace_slot(gold.top_losers(stored, moment), "gold.top_losers", seq)
-    store.replace_slot(gold.volume_leaders(stored, moment), "gold.volume_leaders", seq)
-    refresh_hourly(store, moment, seq)
+
+    def refresh_latest() -> None:
+        latest = gold.refresh_latest(store.slot("gold.latest_prices", before.seq), _new_silver(store, before, loaded))
+        store.replace_slot(latest, "gold.latest_prices", seq)
+        stored = store.slot("gold.latest_prices", seq)
+        boards = {
+            "gold.top_gainers": gold.top_gainers(stored, moment),
+            "gold.top_losers": gold.top_losers(stored, moment),
+            "gold.volume_leaders": gold.volume_leaders(stored, moment),
+        }
+        _together([partial(store.replace_slot, board, name, seq) for name, board in boards.items()])
+
+    _together([refresh_latest, partial(refresh_hourly, store, moment, seq)])
     refreshed = Marker(seq=seq, high=loaded.seq, as_of=loaded.as_of)
     store.mark("gold", refreshed)
     return refreshed

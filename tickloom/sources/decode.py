@@ -65,7 +65,8 @@ def decode(raw: DataFrame, fmt: str = "json") -> DataFrame:
 
 def parse_snapshot(documents: DataFrame, text: str = "value") -> DataFrame:
     """Snapshot documents held as JSON text to ``fetched_at, count, tickers``."""
-    return documents.select(F.from_json(F.col(text).cast("string"), SNAPSHOT_SCHEMA).alias("doc")).select("doc.*")
+    parsed = F.from_json(F.col(text).cast("string"), SNAPSHOT_SCHEMA)
+    return computed_once(documents, "doc", parsed).select("doc.*")
 
 
 def explode_snapshot(doc: DataFrame) -> DataFrame:
