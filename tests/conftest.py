@@ -3,17 +3,18 @@ import os
 import pytest
 from pyspark.sql import SparkSession
 
+from tickloom.session import configure
+
 TESTDATA = os.environ.get("TICKLOOM_TESTDATA", "/root/testdata")
 
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (
-        SparkSession.builder.master("local[4]")
+        configure(SparkSession.builder.master("local[4]"))
         .appName("tickloom-tests")
         .config("spark.driver.memory", "4g")
         .config("spark.sql.shuffle.partitions", "4")
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
         .config("spark.ui.enabled", "false")

@@ -156,3 +156,12 @@ def test_gate_stops_on_many_errors(store, spark, sf_dir):
     with pytest.raises(cycle.GateFailed, match="recent_errors: 101"):
         cycle.run_gated(store, START)
     assert store.read("gold.pipeline_health").count() == 1
+
+
+def test_store_needs_utc(spark, tmp_path):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        with pytest.raises(ValueError, match="Asia/Tokyo"):
+            Store(spark, str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -29,6 +29,7 @@ LAYERS = ["bronze", "silver", "gold"]
 # which leaves room for 68 billion records in a batch and 134 million batches.
 BLOCK_BITS = 36
 SLOTS = 2
+UTC_ZONES = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
 
 
 @dataclass(frozen=True)
@@ -87,7 +88,12 @@ class Marker:
 
 
 class Store:
+    """The layer tables of one session and root folder."""
+
     def __init__(self, spark: SparkSession, root: str):
+        zone = spark.conf.get("spark.sql.session.timeZone")
+        if zone not in UTC_ZONES:
+            raise ValueError(f"Day folders and hours are UTC: set spark.sql.session.timeZone to UTC, not {zone}")
         self.spark = spark
         self.root = root.rstrip("/")
 
@@ -220,9 +226,11 @@ def create_layers(store: Store) -> None:
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in table.stored)
         parted = f"PARTITIONED BY ({', '.join(table.partition_names)})" if table.partitions else ""
         target = f"{name}_slots" if slotted else name
+        if spark.catalog.tableExists(target):
+            continue
         # An empty append makes the folder, which a partition scan of the catalog needs.
         store.empty(name).write.mode("append").partitionBy(*table.partition_names).parquet(store.path(name))
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {target} ({columns}) USING parquet {parted} LOCATION '{store.path(name)}'")
+        spark.sql(f"CREATE TABLE {target} ({columns}) USING parquet {parted} LOCATION '{store.path(name)}'")
         if slotted:
             _create_slot_view(store, name, table)
     refresh_layers(spark)
@@ -230,12 +238,10 @@ def create_layers(store: Store) -> None:
 
 def _create_slot_view(store: Store, name: str, table: Table) -> None:
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in _MARKER_STORED)
-    spark = store.spark
-    location = store.marker_path("gold")
-    spark.createDataFrame([], _MARKER_STORED).write.mode("append").partitionBy("slot").json(location)
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS gold.refreshes ({columns}) USING json PARTITIONED BY (slot) LOCATION '{location}'"
-    )
+    spark, location = store.spark, store.marker_path("gold")
+    if not spark.catalog.tableExists("gold.refreshes"):
+        spark.createDataFrame([], _MARKER_STORED).write.mode("append").partitionBy("slot").json(location)
+        spark.sql(f"CREATE TABLE gold.refreshes ({columns}) USING json PARTITIONED BY (slot) LOCATION '{location}'")
     spark.sql(
         f"CREATE OR REPLACE VIEW {name} AS SELECT {', '.join(table.schema.names)} FROM {name}_slots "
         f"WHERE slot = (SELECT max(seq) % {SLOTS} FROM gold.refreshes)"
