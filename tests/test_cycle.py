@@ -28,6 +28,14 @@ def store(spark, tmp_path):
     return Store(spark, str(tmp_path / "layers"))
 
 
+@pytest.fixture(scope="module")
+def filled(spark, sf_dir, tmp_path_factory):
+    """Three cycles over thirds of the events; tests on it may only add what changes nothing."""
+    store = Store(spark, str(tmp_path_factory.mktemp("layers")))
+    fill(store, sf_dir)
+    return store
+
+
 def fill(store, sf_dir, minutes=30):
     for n, batch in enumerate(batches(store.spark, sf_dir)):
         moment = START + timedelta(minutes=minutes * n)
@@ -35,8 +43,8 @@ def fill(store, sf_dir, minutes=30):
         cycle.run_cycle(store, moment)
 
 
-def test_cycles_equal_full_run(store, sf_dir):
-    fill(store, sf_dir)
+def test_cycles_equal_full_run(filled):
+    store = filled
     bronze = store.read("bronze.ticker_raw")
     stored = store.read("silver.ticker")
     assert bronze.count() == 1000
@@ -54,8 +62,8 @@ def test_cycles_equal_full_run(store, sf_dir):
     assert hours == {datetime(2024, 1, 30, 21)}
 
 
-def test_idle_cycle_changes_nothing(store, sf_dir):
-    fill(store, sf_dir)
+def test_idle_cycle_changes_nothing(filled):
+    store = filled
     names = ["silver.ticker", "bronze.error_log", "gold.latest_prices", "gold.hourly_summary", "gold.top_gainers"]
     before = [rows(store.read(n)) for n in names]
     cycle.run_cycle(store, START + timedelta(minutes=60))
@@ -88,8 +96,8 @@ def test_broken_off_load_is_repeated_as_planned(store, sf_dir, monkeypatch):
     }
 
 
-def test_broken_off_hourly_overwrite_is_applied_from_staging(store, sf_dir, monkeypatch):
-    fill(store, sf_dir)
+def test_broken_off_hourly_overwrite_is_applied_from_staging(filled, monkeypatch):
+    store = filled
     expected_days = store.read("gold.hourly_summary").count()
     real = Store.replace_partitions
 
@@ -115,10 +123,9 @@ def test_repeated_ingest_batch_replaces_itself(store, sf_dir):
     assert store.read("bronze.ticker_raw").count() == first.count()
 
 
-def test_clock_must_not_go_back(store, sf_dir):
-    fill(store, sf_dir)
+def test_clock_must_not_go_back(filled):
     with pytest.raises(ValueError, match="clock went back"):
-        cycle.load_silver(store, START)
+        cycle.load_silver(filled, START)
 
 
 def test_id_outside_block_fails(store, sf_dir):
