@@ -1,5 +1,6 @@
 """Hand-written rows for the rules a table comparison does not reach."""
 
+import json
 from datetime import datetime
 from decimal import Decimal
 
@@ -15,6 +16,7 @@ from tickloom.schemas import (
     ERROR_LOG_SCHEMA,
     HOURLY_SCHEMA,
     LATEST_SCHEMA,
+    PERCENT,
     PRICE,
     RAW_SCHEMA,
     SILVER_SCHEMA,
@@ -134,6 +136,28 @@ def test_registry_frame_is_split_off(spark):
     assert [(r.schema_id, r.body and bytes(r.body)) for r in rows] == [(258, b"body"), (None, None), (None, None), (None, None)]
 
 
+def test_frame_round_trip(spark):
+    d = raw(spark, b"body").withColumn("value", ingest.framed(F.col("value"), 70_000))
+    row = decode.unframe(d).first()
+    assert (row.schema_id, bytes(row.body)) == (70_000, b"body")
+
+
+def test_avro_failures_have_their_own_type(spark):
+    d = decode.decode_json(raw(spark, "?"))
+    log = ingest.to_error_log(ingest.rejected(ingest.with_reject_reason(d, "avro")), "consumer", NOON)
+    assert log.first().error_type == "avro_deserialization_error"
+    letter = json.loads(bytes(ingest.to_dlq_payload(log).first().value))
+    assert (letter["error_type"], letter["payload"], letter["offset"]) == ("avro_deserialization_error", "Pw==", 0)
+
+
+def test_mean_is_rounded_once(spark):
+    """2,000,001 values whose mean lies just below a half of the last digit."""
+    low = spark.range(1_000_001).select(F.lit("0.0000").cast("decimal(10,4)").alias("x"))
+    high = spark.range(1_000_000).select(F.lit("0.0001").cast("decimal(10,4)").alias("x"))
+    assert low.unionAll(high).agg(gold.average("x", PERCENT)).first()[0] == Decimal("0.0000")
+    assert low.limit(0).agg(gold.average("x", PERCENT)).first()[0] is None
+
+
 def test_snapshot_documents(spark, tmp_path):
     from tickloom.sources.topics import read_snapshots, write_snapshot
 

@@ -13,9 +13,12 @@ from tickloom.schemas import (
     REQUIRED_WIRE_FIELDS,
     TICKER_FIELDS,
     WIRE_COLUMNS,
+    avro_contract,
 )
 
 DECODE_ERROR = "decode_error"
+AVRO_DECODE_ERROR = "avro_deserialization_error"
+DECODE_ERRORS = {"json": DECODE_ERROR, "avro": AVRO_DECODE_ERROR}
 VALIDATION_ERROR = "validation_error"
 ENCODE_ERROR = "encode_error"
 DLQ_PARSE_ERROR = "dlq_parse_error"
@@ -40,7 +43,7 @@ def wire_json() -> Column:
     return F.to_json(F.struct(*WIRE_COLUMNS), {"ignoreNullFields": "false"})
 
 
-def with_reject_reason(d: DataFrame) -> DataFrame:
+def with_reject_reason(d: DataFrame, fmt: str = "json") -> DataFrame:
     """Adds ``error_type`` and ``error_message`` (both NULL for a valid record).
 
     Rules are tried in order: decoding, then symbol, lastPrice and volume being
@@ -52,7 +55,7 @@ def with_reject_reason(d: DataFrame) -> DataFrame:
     message = first_match([(undecoded, F.lit("Value could not be decoded")), *rules])
     return d.withColumn("error_message", message).withColumn(
         "error_type",
-        F.when(undecoded, DECODE_ERROR).when(F.col("error_message").isNotNull(), VALIDATION_ERROR),
+        F.when(undecoded, DECODE_ERRORS[fmt]).when(F.col("error_message").isNotNull(), VALIDATION_ERROR),
     )
 
 
@@ -83,7 +86,7 @@ def to_error_log(d: DataFrame, source: str, occurred_at) -> DataFrame:
 
     The payload is base64 of the bytes for undecodable values, else the record as JSON.
     """
-    payload = F.when(F.col("error_type") == DECODE_ERROR, base64_text(F.col("raw_value"))).otherwise(wire_json())
+    payload = F.when(F.col("decode_ok"), wire_json()).otherwise(base64_text(F.col("raw_value")))
     return error_rows(
         d,
         source=F.lit(source),
@@ -108,7 +111,7 @@ def to_dlq_payload(rejects: DataFrame) -> DataFrame:
         )
     )
     quoted = F.concat(F.lit('"'), F.col("raw_payload"), F.lit('"'))
-    payload = F.when(F.col("error_type") == DECODE_ERROR, quoted).otherwise(F.col("raw_payload"))
+    payload = F.when(F.col("error_type").isin(*DECODE_ERRORS.values()), quoted).otherwise(F.col("raw_payload"))
     value = F.concat(
         F.expr("left({0}, length({0}) - 1)".format("head")),
         F.lit(',"payload":'),
@@ -160,8 +163,29 @@ def _encodable() -> Column:
 
 
 def publish_payload(d: DataFrame) -> DataFrame:
-    """Wire tickers as keyed messages; rows lacking a required field are left to ``publish_rejects``."""
-    return d.filter(_encodable()).select(F.col("symbol").cast("binary").alias("key"), wire_json().cast("binary").alias("value"))
+    """Wire tickers as keyed JSON messages; rows lacking a required field are left to ``publish_rejects``."""
+    return _keyed(d, wire_json().cast("binary"))
+
+
+def publish_avro_payload(d: DataFrame, schema_id: int) -> DataFrame:
+    """Wire tickers as keyed, framed Avro messages. Needs the spark-avro package on the session's class path."""
+    from pyspark.sql.avro.functions import to_avro
+
+    return _keyed(d, framed(to_avro(F.struct(*WIRE_COLUMNS), avro_contract()), schema_id))
+
+
+def framed(body: Column, schema_id: int) -> Column:
+    """A message body behind the registry frame: a zero byte and the schema id."""
+    return F.concat(F.unhex(F.lit(f"00{schema_id:08x}")), body)
+
+
+def _keyed(d: DataFrame, value: Column) -> DataFrame:
+    return d.filter(_encodable()).select(F.col("symbol").cast("binary").alias("key"), value.alias("value"))
+
+
+def publish_tallies(d: DataFrame) -> DataFrame:
+    """Tickers sent and refused."""
+    return d.agg(F.count_if(_encodable()).alias("sent"), F.count_if(~_encodable()).alias("errors"))
 
 
 def publish_rejects(d: DataFrame, occurred_at) -> DataFrame:

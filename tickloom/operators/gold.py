@@ -6,6 +6,7 @@ from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from tickloom.functions.casts import floor_hour, instant
 from tickloom.schemas import HOURLY_SCHEMA, LATEST_SCHEMA, LEADERS_SCHEMA, MOVERS_SCHEMA, PERCENT, PRICE, VOLUME
@@ -65,6 +66,15 @@ def volume_leaders(latest: DataFrame, as_of, n: int = BOARD_SIZE) -> DataFrame:
     return _board(latest, key, key.desc(), LEADERS_SCHEMA, as_of, n)
 
 
+def average(name: str, kind: DecimalType) -> Column:
+    """The mean rounded half up once, to the column's own scale.
+
+    Spark's ``avg`` keeps four more digits, so rounding its result again can tip a mean
+    of many rows that only lies close to a half.
+    """
+    return (F.sum(name) / F.nullif(F.count(name), F.lit(0))).cast(kind)
+
+
 def summarize_hours(silver: DataFrame, created_at) -> DataFrame:
     """Per symbol and load hour. Open is the lowest open and close the highest last price."""
     return (
@@ -76,7 +86,7 @@ def summarize_hours(silver: DataFrame, created_at) -> DataFrame:
             F.max("last_price").alias("close_price"),
             F.sum("volume").cast(VOLUME).alias("total_volume"),
             F.sum("quote_volume").cast(VOLUME).alias("total_quote_volume"),
-            F.avg("price_change_pct").cast(PERCENT).alias("avg_price_change_pct"),
+            average("price_change_pct", PERCENT).alias("avg_price_change_pct"),
             F.count(F.lit(1)).cast("int").alias("record_count"),
         )
         .withColumn("created_at", instant(created_at))
@@ -105,11 +115,11 @@ def window_summary(
         timed.withWatermark("_event_time", watermark)
         .groupBy(F.window("_event_time", window).alias("window"), "symbol")
         .agg(
-            F.avg("last_price").cast(PRICE).alias("avg_price"),
+            average("last_price", PRICE).alias("avg_price"),
             F.max("high_price").alias("max_price"),
             F.min("low_price").alias("min_price"),
             F.sum("volume").cast(VOLUME).alias("total_volume"),
-            F.avg("price_change_pct").cast(PERCENT).alias("avg_price_change_pct"),
+            average("price_change_pct", PERCENT).alias("avg_price_change_pct"),
             F.count(F.lit(1)).alias("record_count"),
         )
         .select(

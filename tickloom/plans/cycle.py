@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
@@ -16,6 +17,9 @@ from tickloom.schemas import HOURLY_SCHEMA
 from tickloom.sources.tables import BLOCK_BITS, Marker, Store, check_layers, day_of, days_between
 
 SUMMARY_HOURS = 2
+LOGGED_TYPES = 20
+
+log = logging.getLogger(__name__)
 
 
 class GateFailed(RuntimeError):
@@ -169,6 +173,12 @@ def _enforce(gates: DataFrame) -> None:
         raise GateFailed("; ".join(failed))
 
 
+def _warn(errors: DataFrame, as_of) -> None:
+    """Logs the most frequent recent error types."""
+    for row in quality.errors_by_type(errors, as_of).take(LOGGED_TYPES):
+        log.warning("Recent errors of type %s: %d", row.error_type, row.cnt)
+
+
 def record_health(store: Store, as_of: datetime | str) -> None:
     snapshot = quality.health_snapshot(
         store.read("bronze.ticker_raw"),
@@ -190,4 +200,6 @@ def run_gated(store: Store, as_of: datetime | str) -> None:
     refresh_gold(store, as_of)
     _enforce(quality.gold_gate(store.read("gold.latest_prices")))
     record_health(store, as_of)
-    _enforce(quality.error_gate(store.since("bronze.error_log", start), as_of))
+    errors = store.since("bronze.error_log", start)
+    _warn(errors, as_of)
+    _enforce(quality.error_gate(errors, as_of))

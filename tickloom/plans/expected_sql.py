@@ -82,6 +82,13 @@ def _board(order: str, key: str, columns: list[str]) -> str:
     ORDER BY {key} {order}, symbol LIMIT 20"""
 
 
+def _average(name: str, scale: int) -> str:
+    """The exact mean in whole units of the last digit, rounded half away from zero; the engine's own is a double."""
+    units, n = f"sum(CAST({name} * {10**scale} AS HUGEINT))", f"count({name})"
+    rounded = f"sign({units}) * ((2 * abs({units}) + {n}) // (2 * {n}))"
+    return f"CAST(CAST({rounded} AS DECIMAL(20,0)) * CAST(0.1 ** {scale} AS DECIMAL(9,{scale})) AS {_decimal(name)})"
+
+
 def _hourly(source: str, created: str, where: str = "TRUE") -> str:
     return f"""
     SELECT symbol, date_trunc('hour', transformed_at) AS hour,
@@ -89,7 +96,7 @@ def _hourly(source: str, created: str, where: str = "TRUE") -> str:
            max(last_price) AS close_price,
            CAST(sum(volume) AS DECIMAL(30,8)) AS total_volume,
            CAST(sum(quote_volume) AS DECIMAL(30,8)) AS total_quote_volume,
-           CAST(avg(price_change_pct) AS DECIMAL(10,4)) AS avg_price_change_pct,
+           {_average("price_change_pct", 4)} AS avg_price_change_pct,
            CAST(count(*) AS INTEGER) AS record_count, {created} AS created_at
     FROM {source} WHERE {where} GROUP BY symbol, date_trunc('hour', transformed_at)"""
 
@@ -175,9 +182,9 @@ _VIEWS = {
     "earlier_hourly": _hourly("earlier_silver", f"TIMESTAMP '{EARLIER_LOAD}'"),
     "windows": f"""
     SELECT symbol, w AS window_start, w + INTERVAL 5 MINUTE AS window_end,
-           CAST(avg(last_price) AS DECIMAL(20,8)) AS avg_price, max(high_price) AS max_price,
+           {_average("last_price", 8)} AS avg_price, max(high_price) AS max_price,
            min(low_price) AS min_price, CAST(sum(volume) AS DECIMAL(30,8)) AS total_volume,
-           CAST(avg(price_change_pct) AS DECIMAL(10,4)) AS avg_price_change_pct, count(*) AS record_count,
+           {_average("price_change_pct", 4)} AS avg_price_change_pct, count(*) AS record_count,
            {_NOW} AS computed_at
     FROM (SELECT *, time_bucket(INTERVAL 5 MINUTE, close_time) AS w FROM silver) GROUP BY symbol, w""",
 }
@@ -230,6 +237,8 @@ _SELECTS = {
            {_WIRE_JSON} AS raw_payload, CAST(NULL AS VARCHAR) AS kafka_topic,
            CAST(NULL AS INTEGER) AS kafka_partition, CAST(NULL AS BIGINT) AS kafka_offset, {_NOW} AS occurred_at
     FROM wire WHERE NOT ({_ENCODABLE})""",
+    "publish_tallies": f"""SELECT count(*) FILTER (WHERE {_ENCODABLE}) AS sent,
+    count(*) FILTER (WHERE NOT ({_ENCODABLE})) AS errors FROM wire""",
     "bronze_valid": "SELECT id, {}, kafka_timestamp AS ingested_at FROM checked WHERE error_type IS NULL".format(
         ", ".join(f'"{w}" AS {t}' for w, t, _ in TICKER_FIELDS)
     ),

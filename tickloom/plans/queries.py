@@ -188,6 +188,7 @@ _QUERIES: dict[str, Callable[[Feed], DataFrame]] = {
     "normalize_ticker": lambda f: ingest.normalize_ticker(f.wire),
     "publish_payload": lambda f: _text_messages(ingest.publish_payload(f.wire)),
     "publish_rejects": lambda f: ingest.publish_rejects(f.wire, AS_OF),
+    "publish_tallies": lambda f: ingest.publish_tallies(f.wire),
     "bronze_valid": _bronze_valid,
     "bronze_rejects": lambda f: f.consumer_rejects.filter(F.col("error_type") == ingest.VALIDATION_ERROR),
     "ingest_tallies": lambda f: ingest.ingest_tallies(f.checked),
@@ -238,7 +239,9 @@ _QUERIES: dict[str, Callable[[Feed], DataFrame]] = {
 def zoneless(d: DataFrame) -> DataFrame:
     return d.select(
         *[
-            F.col(f"`{f.name}`").cast("timestamp_ntz").alias(f.name) if isinstance(f.dataType, TimestampType) else F.col(f"`{f.name}`")
+            F.col(f"`{f.name}`").cast("timestamp_ntz").alias(f.name)
+            if isinstance(f.dataType, TimestampType)
+            else F.col(f"`{f.name}`")
             for f in d.schema
         ]
     )

@@ -52,7 +52,7 @@ def _start(d: DataFrame, name: str, sink: Sink, trigger: dict | None, checkpoint
 
 
 def checked_records(raw: DataFrame, fmt: str = "json") -> DataFrame:
-    return ingest.with_reject_reason(decode(raw, fmt))
+    return ingest.with_reject_reason(decode(raw, fmt), fmt)
 
 
 def start_ingest(
