@@ -12,6 +12,10 @@ from tickloom.functions.casts import is_blank, to_decimal
 
 Rule = tuple[Column, Column]
 
+# Message texts that readers of the error log match on.
+MISSING_TEXT = "Missing required field: '{}'"
+NON_NUMERIC_TEXT = "Non-numeric price/volume: could not convert string to float: '"
+
 
 def first_match(rules: list[Rule]) -> Column:
     """The value of the first rule whose condition holds, else NULL."""
@@ -20,14 +24,13 @@ def first_match(rules: list[Rule]) -> Column:
 
 
 def missing(name: str) -> Rule:
-    return is_blank(F.col(name)), F.lit(f"Missing required field: '{name}'")
+    return is_blank(F.col(name)), F.lit(MISSING_TEXT.format(name))
 
 
 def non_numeric(name: str, kind: DataType) -> Rule:
     """A present value that does not fit the target decimal."""
     c = F.col(name)
-    message = F.concat(F.lit("Non-numeric price/volume: could not convert string to float: '"), c, F.lit("'"))
-    return to_decimal(c, kind).isNull(), message
+    return to_decimal(c, kind).isNull(), F.concat(F.lit(NON_NUMERIC_TEXT), c, F.lit("'"))
 
 
 def uncastable(name: str, kind: DecimalType) -> Rule:

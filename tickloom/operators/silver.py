@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tickloom.functions.casts import blank_to_null, epoch_ms, instant, is_blank, to_decimal
-from tickloom.functions.validation import first_match, missing, too_long, uncastable
+from tickloom.functions.validation import MISSING_TEXT, first_match, missing, too_long, uncastable
 from tickloom.operators.bronze import VALIDATION_ERROR, error_rows
 from tickloom.schemas import CRITICAL_DECIMALS, DECIMAL_COLUMNS, SYMBOL_MAX_LENGTH, TABLE_COLUMNS
 
@@ -67,7 +67,7 @@ def count_refused(bronze: DataFrame, observation: Observation) -> DataFrame:
 
 def silver_rejects(bronze: DataFrame, occurred_at) -> DataFrame:
     """The exact complement of ``to_silver`` as error-log rows."""
-    absent = (F.col("symbol").isNull(), F.lit("Missing required field: 'symbol'"))
+    absent = (F.col("symbol").isNull(), F.lit(MISSING_TEXT.format("symbol")))
     gaps = [absent, *[missing(c) for c in CRITICAL_DECIMALS]]
     misfits = [too_long("symbol", SYMBOL_MAX_LENGTH)]
     misfits += [uncastable(c, DECIMAL_COLUMNS[c]) for c in CRITICAL_DECIMALS]

@@ -184,7 +184,7 @@ _QUERIES: dict[str, Callable[[Feed], DataFrame]] = {
     "decode_json": _decoded,
     "decode_rejects": lambda f: f.consumer_rejects.filter(F.col("error_type") == ingest.DECODE_ERROR),
     "snapshot_explode": _snapshot_feed,
-    "snapshot_header": lambda f: ingest.snapshot_header(f.wire, AS_OF),
+    "snapshot_header": lambda f: ingest.snapshot_header(f.raw, AS_OF),
     "normalize_ticker": lambda f: ingest.normalize_ticker(f.wire),
     "publish_payload": lambda f: _text_messages(ingest.publish_payload(f.wire)),
     "publish_rejects": lambda f: ingest.publish_rejects(f.wire, AS_OF),
