@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tickloom.llm import bpe, language, warc
+from tickloom.llm import bpe, decontam, html, language, quality_rules, warc
 from tickloom.llm.common import table
 
 BPE_PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -25,8 +26,23 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated"
+    )
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents")).drop("clean_text")
+
+
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc, op3_byte_bpe, op5_language_id)
+    f.__name__: f for f in (op1_warc, op3_byte_bpe, op5_language_id, op6_decontamination, op8_quality_rules, op9_html_extraction)
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -38,4 +54,52 @@ ORACLE_SQL: dict[str, str] = {
                           THEN max(page_id) OVER (PARTITION BY html) END AS refers_to
               FROM pages)
     """,
+    "op6_decontamination": """
+        WITH letters AS (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS upper, 'abcdefghijklmnopqrstuvwxyz' AS lower),
+        docs AS (SELECT row_number() OVER () AS nr, doc_id,
+                        regexp_extract_all(translate(coalesce(text, ''), upper, lower), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+                 FROM documents, letters),
+        items AS (SELECT CAST(item_id AS VARCHAR) AS item_id,
+                         regexp_extract_all(translate(coalesce(text, ''), upper, lower), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+                  FROM benchmark, letters WHERE item_id IS NOT NULL),
+        windows AS (SELECT item_id, least(13, len(w)) AS n, array_to_string(w[i : i + least(13, len(w)) - 1], ' ') AS s
+                    FROM (SELECT item_id, w, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM items WHERE len(w) > 0)),
+        sizes AS (SELECT DISTINCT n FROM windows),
+        grams AS (SELECT nr, n, i, array_to_string(w[i : i + n - 1], ' ') AS s
+                  FROM (SELECT nr, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM docs, sizes)),
+        hits AS (SELECT DISTINCT nr, n, i, item_id FROM grams JOIN windows USING (n, s)),
+        covered AS (SELECT nr, count(DISTINCT p) AS n_hit FROM (SELECT nr, unnest(range(i, i + n)) AS p FROM hits) GROUP BY nr),
+        listed AS (SELECT nr, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+                   FROM (SELECT DISTINCT nr, item_id FROM hits) GROUP BY nr)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM docs LEFT JOIN covered USING (nr) LEFT JOIN listed USING (nr)
+    """,
+    "op8_quality_rules": """
+        WITH docs AS (
+            SELECT row_number() OVER () AS nr, doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
+                   list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+            FROM documents),
+        grams AS (SELECT nr, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS s FROM (SELECT nr, w, unnest(range(1, len(w) - 1)) AS i FROM docs)),
+        twice AS (SELECT nr, i FROM (SELECT nr, i, count(*) OVER (PARTITION BY nr, s) AS n FROM grams) WHERE n > 1),
+        repeated AS (SELECT nr, count(DISTINCT p) AS n FROM (SELECT nr, unnest(range(i, i + 3)) AS p FROM twice) GROUP BY nr),
+        line AS (SELECT nr, line, regexp_replace(line, '[\\x20\\x09-\\x0D]+', '', 'g') AS bare,
+                        length(regexp_replace(line, '[^|»›•·>]+', '', 'g')) AS separators
+                 FROM (SELECT nr, unnest(lines) AS line FROM docs)),
+        judged AS (SELECT nr, bare, NOT contains('.!?…:;"''”’»)]。！？', right(bare, 1))
+                       OR (length(line) <= 200 AND regexp_matches(lower(line), 'lorem ipsum|javascript|cookie|terms of use|terms of service|privacy policy|all rights reserved|click here|read more|sign in|sign up|log in|subscribe|share this|skip to content'))
+                       OR length(regexp_replace(bare, '[^!?|*#$%&<>~^=_+/@\\\\]+', '', 'g')) > 0.15 * length(bare)
+                       OR (separators >= 3 AND 5 * separators >= len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+'))) AS fails
+                   FROM line),
+        kept AS (SELECT nr, count(*) FILTER (fails) AS n_failed_lines, coalesce(sum(length(bare)) FILTER (NOT fails), 0) AS remaining FROM judged GROUP BY nr),
+        told AS (
+            SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+                   len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
+                   coalesce(n_failed_lines, 0) AS n_failed_lines, coalesce(remaining, 0) AS remaining
+            FROM docs LEFT JOIN repeated USING (nr) LEFT JOIN kept USING (nr))
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_failed_lines,
+               n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+               NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND remaining >= 0.5 * word_chars AS kept
+        FROM told
+    """,
 }
