@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import bpe, decontam, html, language, quality_rules, warc
+from tickloom.llm import bpe, decontam, html, language, near_dup, quality_rules, warc
 from tickloom.llm.common import table
 
 BPE_PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -18,6 +18,10 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(spark, table(spark, sf_dir, "pages"))
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "kept")
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), BPE_PATH, public_tokenizers.PATTERN)
 
@@ -42,7 +46,7 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc, op3_byte_bpe, op5_language_id, op6_decontamination, op8_quality_rules, op9_html_extraction)
+    f.__name__: f for f in (op1_warc, op2_near_duplicates, op3_byte_bpe, op5_language_id, op6_decontamination, op8_quality_rules, op9_html_extraction)
 }
 
 ORACLE_SQL: dict[str, str] = {
