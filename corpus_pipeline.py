@@ -1,37 +1,70 @@
-"""The corpus pipeline: language, quality, near-duplicates, benchmark passages, token ids."""
+"""The corpus pipeline: language, quality, near-duplicates, benchmark passages, token ids.
+
+run(spark, sf_dir) takes the documents table through STAGES; each stage works on all that the one
+before kept, and its decisions take effect. Empty tables pass through with no rows.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tickloom.llm import language
+from tickloom.llm import bpe, decontam, language, near_dup, quality_model
 from tickloom.llm.common import table, work_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: Least posterior probability of the predicted language.
-LEAST_LANGUAGE_SCORE = 0.5
+#: Least posterior probability of the predicted language, and of the best grade.
+LEAST_LANGUAGE_SCORE, LEAST_BEST_GRADE = 0.5, 0.5
+BPE_PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a known language: those without letters or without a clear language go."""
-    model = language.fit(docs)
-    found = language.predict(docs, model)
+    """Documents in a language that is learned from them: those without letters or without a clear language go."""
+    found = language.predict(docs, language.fit(docs))
+    # Where nothing was learned there is nothing to reject by.
     return found.where((found.lang_pred != "und") & (found.score >= LEAST_LANGUAGE_SCORE)).select(*COLUMNS)
 
 
-STAGES = [("language_id", language_id)]
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are likely of the best grade: toxic and poor ones go."""
+    labels = table(spark, sf_dir, "labels")
+    model = quality_model.fit(docs, labels.select("doc_id", quality_model.grade_of(F.col("quality"), F.col("toxic")).alias("grade")))
+    return quality_model.predict(docs, model, LEAST_BEST_GRADE).where("selected").select(*COLUMNS)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least doc_id of each class."""
+    return near_dup.deduplicate(docs).select(*COLUMNS)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that don't hold benchmark passages as a twentieth of their words or more."""
+    return decontam.clean(docs, table(spark, sf_dir, "benchmark")).select(*COLUMNS)
+
+
+def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of each document left."""
+    return bpe.round_trip(docs, BPE_PATH, public_tokenizers.PATTERN)
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("byte_bpe", byte_bpe),
+]
 
-#: No stage but the fourth can be said in SQL; the stages are tested against brute force.
+#: SQL can say only the fourth stage; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows; each stage's rows are written to the shared folder and read again."""
     docs = table(spark, sf_dir, "documents")
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            path = work_path(spark, name)
-            docs.write.parquet(path)
-            docs = spark.read.parquet(path)
-    return docs
+    for name, stage in STAGES[:-1]:
+        path = work_path(spark, name)
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return STAGES[-1][1](spark, docs, sf_dir)

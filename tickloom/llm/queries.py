@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import bpe, decontam, html, language, near_dup, quality_rules, warc
+from tickloom.llm import bpe, decontam, html, language, near_dup, quality_model, quality_rules, warc
 from tickloom.llm.common import table
 
 BPE_PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -37,6 +37,12 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality_model.fit(docs, labels.select("doc_id", quality_model.grade_of(F.col("quality"), F.col("toxic")).alias("grade")))
+    return quality_model.predict(docs.select("doc_id", "text"), model).drop("text")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents")).drop("clean_text")
 
@@ -46,7 +52,7 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc, op2_near_duplicates, op3_byte_bpe, op5_language_id, op6_decontamination, op8_quality_rules, op9_html_extraction)
+    f.__name__: f for f in (op1_warc, op2_near_duplicates, op3_byte_bpe, op5_language_id, op6_decontamination, op7_quality_model, op8_quality_rules, op9_html_extraction)
 }
 
 ORACLE_SQL: dict[str, str] = {
