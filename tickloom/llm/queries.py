@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import bpe, decontam, html, language, near_dup, quality_model, quality_rules, warc
+from tickloom.llm import bpe, decontam, html, language, licenses, near_dup, quality_model, quality_rules, warc
 from tickloom.llm.common import table
 
 BPE_PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -26,6 +26,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), BPE_PATH, public_tokenizers.PATTERN)
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
@@ -51,8 +55,19 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
+def _canonical_sql(text: str) -> str:
+    """The canonical form of licences.canonical in DuckDB's SQL."""
+    out = f"regexp_replace(lower(coalesce({text}, '')), '{licenses.COPYRIGHT_LINE}', chr(10), 'g')"
+    out = f"' ' || regexp_replace({out}, '[^a-z0-9]+', ' ', 'g') || ' '"
+    for odd, usual in licenses.SPELLINGS:
+        out = f"replace({out}, ' {odd} ', ' {usual} ')"
+    return f"trim(regexp_replace({out}, ' +', ' ', 'g'))"
+
+
+_KNOWN_SQL = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in licenses.KNOWN)
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc, op2_near_duplicates, op3_byte_bpe, op5_language_id, op6_decontamination, op7_quality_model, op8_quality_rules, op9_html_extraction)
+    f.__name__: f for f in (op1_warc, op2_near_duplicates, op3_byte_bpe, op4_license_scan, op5_language_id, op6_decontamination, op7_quality_model, op8_quality_rules, op9_html_extraction)
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -64,6 +79,17 @@ ORACLE_SQL: dict[str, str] = {
                           THEN max(page_id) OVER (PARTITION BY html) END AS refers_to
               FROM pages)
     """,
+    "op4_license_scan": f"""
+        WITH known AS (SELECT digest, string_agg(DISTINCT license, ' OR ' ORDER BY license) AS license
+                       FROM (SELECT sha256({_canonical_sql("text")}) AS digest, license FROM (VALUES {_KNOWN_SQL}) AS k(license, text)) GROUP BY digest),
+        docs AS (SELECT row_number() OVER () AS nr, doc_id, text FROM documents),
+        found AS (SELECT nr, string_agg(DISTINCT license, ',' ORDER BY license) AS line_licenses, count(*) AS n_license_lines
+                  FROM (SELECT nr, sha256({_canonical_sql("line")}) AS digest FROM (SELECT nr, unnest(string_split(text, chr(10))) AS line FROM docs) WHERE line <> '')
+                  JOIN known USING (digest) GROUP BY nr)
+        SELECT doc_id, sha256({_canonical_sql("text")}) AS digest, license, coalesce(line_licenses, '') AS line_licenses,
+               coalesce(n_license_lines, 0) AS n_license_lines
+        FROM docs LEFT JOIN known ON known.digest = sha256({_canonical_sql("text")}) LEFT JOIN found USING (nr)
+    """,
     "op6_decontamination": """
         WITH letters AS (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS upper, 'abcdefghijklmnopqrstuvwxyz' AS lower),
         docs AS (SELECT row_number() OVER () AS nr, doc_id,
