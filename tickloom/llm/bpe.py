@@ -1,10 +1,12 @@
 """Byte-level BPE: every distinct word of the corpus is encoded once, and its ids are joined back.
 
-Each task takes its texts in blocks, splits them into pre-tokens and sends one row per distinct
-pre-token of a block (word, block, index there) into the word shuffle; so a frequent word costs
-a row per block and not one per occurrence. Equal words meet, are encoded once, and their ids go
-back to all blocks that hold them, packed by block. There the pre-tokens' positions put the ids
-together. Decoding joins the token-byte table, whose size the vocabulary file bounds.
+Each task takes its texts in blocks, splits them into pre-tokens and sends every distinct pre-token
+of a block once into the word shuffle; so a frequent word costs an entry per block and not one per
+occurrence. The words of a block are numbered by bucket (a hash of the word), and those of one
+bucket travel in one row. Equal words meet in their bucket, are encoded once, and the ids join the
+blocks again under the same numbers. There the positions of the pre-tokens, which are such
+numbers, put the ids together. Decoding joins the token-byte table, whose size the vocabulary
+file bounds.
 
 Defined results: a null text is an empty text, without ids; repeated rows are encoded as often
 as they occur; a null doc_id stays null; an empty table gives no rows; extra columns are
@@ -16,6 +18,8 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -38,9 +42,12 @@ SLICE_BYTES = 1 << 20
 CLASS_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 OTHER, LETTER, NUMBER, SPACE = range(4)
 
-WORD_SCHEMA = "word string, block long, at int"
+#: Buckets of words, and words of a bucket that are kept in memory with their ids; more are encoded again.
+WORD_BUCKETS, KEPT_WORDS = 1024, 1 << 19
+
+WORD_SCHEMA = "bucket int, block long, start int, lengths binary, words binary"
 BLOCK_SCHEMA = "block long, n_words int, doc_ids array<long>, lengths array<int>, positions binary"
-PACK_SCHEMA = "owner long, at binary, sizes binary, ids binary"
+PACK_SCHEMA = "owner long, start int, sizes binary, ids binary"
 
 
 @lru_cache(maxsize=4)
@@ -139,19 +146,24 @@ def _unpack(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<i4").reshape(-1)
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], pattern: str) -> Iterator[tuple[int, list, np.ndarray, np.ndarray, dict[str, int]]]:
-    """(block, doc_ids, lengths, positions, words with their indexes); the same for the same rows in the same partition."""
+def _blocks(batches: Iterator[pa.RecordBatch], pattern: str) -> Iterator[tuple[int, list, np.ndarray, np.ndarray, list[bytes], np.ndarray]]:
+    """(block, doc_ids, lengths, positions, words by number, first number of each bucket); the same for the same rows in the same partition."""
     from pyspark import TaskContext
 
     number = TaskContext.get().partitionId() << 32
     doc_ids, lengths, positions, words, held = [], [], [], {}, 0
 
     def block():
-        at, sizes = np.concatenate(positions).astype(np.int32), np.concatenate(lengths)
+        sizes, listed = np.concatenate(lengths), [w.encode("utf-8", "surrogatepass") for w in words]
+        bucket = np.fromiter((crc32(w) % WORD_BUCKETS for w in listed), np.int64, len(listed))
+        order = np.argsort(bucket, kind="stable")
+        numbers = np.empty(len(order), dtype=np.int32)
+        numbers[order] = np.arange(len(order))
+        at = numbers[np.concatenate(positions)]
         # The name also tells what is in the block: if its rows came in another order, nothing would match and the job would fail.
         places = np.arange(len(at), dtype=np.uint64) | np.uint64(1)
         told = np.array([number], dtype=np.uint64) * np.uint64(BASE) + np.sum((at.astype(np.uint64) + np.uint64(1)) * places)
-        return int(mix(told).view(np.int64)[0]), doc_ids, sizes, at, words
+        return int(mix(told).view(np.int64)[0]), doc_ids, sizes, at, [listed[i] for i in order], np.searchsorted(bucket[order], np.arange(WORD_BUCKETS + 1))
 
     for batch in slices(batches, 1, SLICE_BYTES):
         column = texts(batch.column(1))
@@ -170,15 +182,22 @@ def _blocks(batches: Iterator[pa.RecordBatch], pattern: str) -> Iterator[tuple[i
 
 
 def _word_rows(batches: Iterator[pa.RecordBatch], pattern: str) -> Iterator[pa.RecordBatch]:
-    for number, _, _, _, words in _blocks(batches, pattern):
-        listed = list(words)
-        for i in range(0, len(listed), 1 << 16):
-            part = listed[i : i + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array(np.full(len(part), number)), pa.array(np.arange(i, i + len(part), dtype=np.int32))], ["word", "block", "at"])
+    packer = zstandard.ZstdCompressor(level=3)
+    for number, _, _, _, words, starts in _blocks(batches, pattern):
+        buckets = np.flatnonzero(np.diff(starts))
+        rows = [words[starts[b] : starts[b + 1]] for b in buckets]
+        columns = [
+            pa.array(buckets.astype(np.int32)),
+            pa.array(np.full(len(buckets), number)),
+            pa.array(starts[buckets].astype(np.int32)),
+            pa.array([_pack(np.fromiter(map(len, r), np.int32, len(r))) for r in rows], pa.binary()),
+            pa.array([packer.compress(b"".join(r)) for r in rows], pa.binary()),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, ["bucket", "block", "start", "lengths", "words"])
 
 
 def _block_rows(batches: Iterator[pa.RecordBatch], pattern: str) -> Iterator[pa.RecordBatch]:
-    for number, doc_ids, lengths, positions, words in _blocks(batches, pattern):
+    for number, doc_ids, lengths, positions, words, _ in _blocks(batches, pattern):
         yield pa.RecordBatch.from_arrays(
             [pa.array([number]), pa.array([len(words)], pa.int32()), pa.array([doc_ids], pa.list_(pa.int64())), pa.array([lengths.tolist()], pa.list_(pa.int32())), pa.array([_pack(positions)], pa.binary())],
             ["block", "n_words", "doc_ids", "lengths", "positions"],
@@ -186,42 +205,37 @@ def _block_rows(batches: Iterator[pa.RecordBatch], pattern: str) -> Iterator[pa.
 
 
 def _encode_words(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by word: each distinct word is encoded once, its ids go to all of its rows; packed by block."""
-    encode, last, ids = encoder(path).encode_ordinary, None, []
+    """Rows sorted by bucket: each distinct word is encoded once, its ids go to all blocks that hold it."""
+    encode, unpacker = encoder(path).encode_ordinary, zstandard.ZstdDecompressor()
+    now, known = None, {}
     for batch in batches:
-        runs = batch.column(0).dictionary_encode()
-        each = []
-        for word in runs.dictionary.to_pylist():
-            if word != last:
-                last, ids = word, encode(word)
-            each.append(ids)
-        sizes = np.fromiter(map(len, each), np.int32, len(each))
-        flat = np.fromiter((i for x in each for i in x), np.int32, int(sizes.sum()))
-        begins = np.cumsum(sizes) - sizes
-        blocks, at = batch.column(1).to_numpy(), batch.column(2).to_numpy()
-        run = runs.indices.to_numpy()
-        order = np.argsort(blocks, kind="stable")
-        names, cuts = np.unique(blocks[order], return_index=True)
         rows = []
-        for part in np.split(order, cuts[1:]):
-            n = sizes[run[part]].astype(np.int64)
-            ends = np.cumsum(n)
-            rows.append(tuple(map(_pack, (at[part], n, flat[np.repeat(begins[run[part]] - (ends - n), n) + np.arange(ends[-1])]))))
-        yield pa.RecordBatch.from_arrays([pa.array(names), *(pa.array([r[i] for r in rows], pa.binary()) for i in range(3))], ["owner", "at", "sizes", "ids"])
+        for bucket, block, start, lengths, words in zip(*(c.to_pylist() for c in batch.columns)):
+            if bucket != now or len(known) > KEPT_WORDS:
+                now, known = bucket, {}
+            ends, joined = np.cumsum(_unpack(lengths)).tolist(), unpacker.decompress(words)
+            ids, begin = [], 0
+            for end in ends:
+                word, begin = joined[begin:end], end
+                found = known.get(word)
+                if found is None:
+                    found = known[word] = encode(word.decode("utf-8", "surrogatepass"))
+                ids.append(found)
+            rows.append((block, start, _pack(np.fromiter(map(len, ids), np.int32, len(ids))), _pack(np.fromiter(chain.from_iterable(ids), np.int32))))
+        columns = [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.binary(), pa.binary()))]
+        yield pa.RecordBatch.from_arrays(columns, ["owner", "start", "sizes", "ids"])
 
 
 def _assemble(blocks: pd.DataFrame, packs: pd.DataFrame) -> pd.DataFrame:
     """The ids of each document of a block, by the positions of its pre-tokens."""
     if len(blocks) != 1:
         raise ValueError("blocks and words don't match: store the documents first, their rows change from read to read")
+    block, packs = blocks.iloc[0], packs.sort_values("start")
     joined = lambda c: np.concatenate([*map(_unpack, packs[c]), np.zeros(0, dtype=np.int32)])
-    block, at = blocks.iloc[0], joined("at")
-    if len(at) != block.n_words:
+    sizes, flat, positions = joined("sizes").astype(np.int64), joined("ids"), _unpack(block.positions)
+    if len(sizes) != block.n_words:
         raise ValueError("blocks and words don't match: store the documents first, their rows change from read to read")
-    sizes, begins = np.zeros(len(at), dtype=np.int64), np.zeros(len(at), dtype=np.int64)
-    n = joined("sizes").astype(np.int64)
-    sizes[at], begins[at] = n, np.cumsum(n) - n
-    flat, positions = joined("ids"), _unpack(block.positions)
+    begins = np.cumsum(sizes) - sizes
     cuts = np.cumsum(np.asarray(block.lengths, dtype=np.int64))
     out, begin = [], 0
     for end in cuts:
@@ -241,7 +255,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     words = rows.mapInArrow(lambda b: _word_rows(b, pattern), WORD_SCHEMA)
-    packs = words.repartition("word").sortWithinPartitions("word").mapInArrow(lambda b: _encode_words(b, path), PACK_SCHEMA)
+    packs = words.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(lambda b: _encode_words(b, path), PACK_SCHEMA)
     blocks = rows.mapInArrow(lambda b: _block_rows(b, pattern), BLOCK_SCHEMA)
     return blocks.groupBy("block").cogroup(packs.groupBy("owner")).applyInPandas(_assemble, "doc_id long, ids array<int>")
 
