@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import bpe, decontam, html, language, licenses, near_dup, quality_model, quality_rules, warc
+from tickloom.llm import bpe, decontam, html, language, licenses, near_dup, quality_model, quality_rules, url_filter, warc
 from tickloom.llm.common import table
 
 BPE_PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -55,6 +55,10 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "template")
+
+
 def _canonical_sql(text: str) -> str:
     """The canonical form of licences.canonical in DuckDB's SQL."""
     out = f"regexp_replace(lower(coalesce({text}, '')), '{licenses.COPYRIGHT_LINE}', chr(10), 'g')"
@@ -67,7 +71,7 @@ def _canonical_sql(text: str) -> str:
 _KNOWN_SQL = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in licenses.KNOWN)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc, op2_near_duplicates, op3_byte_bpe, op4_license_scan, op5_language_id, op6_decontamination, op7_quality_model, op8_quality_rules, op9_html_extraction)
+    f.__name__: f for f in (op1_warc, op2_near_duplicates, op3_byte_bpe, op4_license_scan, op5_language_id, op6_decontamination, op7_quality_model, op8_quality_rules, op9_html_extraction, op10_url_filter)
 }
 
 ORACLE_SQL: dict[str, str] = {
