@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +48,23 @@ def discard(spark: SparkSession, *stored_frames: DataFrame) -> None:
                 path.getFileSystem(conf).delete(path, True)
 
 
+def with_columns(df: DataFrame, make: Callable[[pa.Array], list[pa.Array]], fields: str, drop: tuple[str, ...] = ()) -> DataFrame:
+    """df (without the columns of drop) and the columns `fields` that make gives for slices of the column text, a null as an empty text."""
+    names = [c for c in df.columns if c not in drop]
+    taken = df.select(*names, F.col("text").cast("string").alias("__text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = len(names)
+        for batch in slices(batches, last, 1 << 21):
+            new = make(texts(batch.column(last)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:last], *new], [str(i) for i in range(last + len(new))])
+
+    schema = StructType([*df.select(*names).schema.fields, *StructType.fromDDL(fields).fields])
+    numbered = StructType([StructField(str(i), f.dataType) for i, f in enumerate(schema.fields)])
+    found = taken.toDF(*map(str, range(len(names) + 1))).mapInArrow(run, numbered)
+    return found.toDF(*schema.names)
+
+
 def texts(column: pa.Array) -> pa.Array:
     """A string column with nulls as empty texts."""
     return pc.fill_null(column.cast(pa.string()), "")

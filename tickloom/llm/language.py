@@ -19,12 +19,11 @@ from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import slices, texts
+from tickloom.llm.common import slices, texts, with_columns
 
 BUCKETS = 1 << 15
 #: Training documents per language, about: those whose hashed id falls below a share are taken.
@@ -124,18 +123,18 @@ def score(model: Model, text: str) -> tuple[str, float]:
     return model.languages[best], float(1 / np.exp(total - total[best]).sum())
 
 
-def predict(docs: DataFrame, model: Model | None) -> DataFrame:
-    """The rows of docs with lang_pred and score; docs needs a column text, and loses columns of these names."""
-    rows = docs.drop("lang_pred", "score")
+def predict(docs: DataFrame, model: Model | None, drop: tuple[str, ...] = ()) -> DataFrame:
+    """The rows of docs with lang_pred and score; docs needs a column text, and loses columns of these names and those of drop."""
+    gone = ("lang_pred", "score", *drop)
     if model is None:
-        return rows.withColumns({"lang_pred": F.lit("und"), "score": F.lit(0.0)})
+        return docs.drop(*gone).withColumns({"lang_pred": F.lit("und"), "score": F.lit(0.0)})
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang_pred string, score double")
-    def scored(column: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([score(shared.value, t or "") for t in column], columns=["lang_pred", "score"])
+    def scored(column: pa.Array) -> list[pa.Array]:
+        found = [score(shared.value, t.as_py()) for t in column]
+        return [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
 
-    return rows.withColumn("__found", scored(F.col("text").cast("string"))).select(*rows.columns, "__found.lang_pred", "__found.score")
+    return with_columns(docs, scored, "lang_pred string, score double", gone)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -147,4 +146,4 @@ def identify(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every row of docs (doc_id, text, lang), learned from those not held out."""
     rows = docs.select("doc_id", "text", "lang", held_out(F.col("doc_id")).alias("held_out"))
     model = fit(rows.where(~F.col("held_out")))
-    return predict(rows.select("doc_id", "held_out", "text"), model).drop("text")
+    return predict(rows.select("doc_id", "held_out", "text"), model, ("text",))

@@ -12,10 +12,12 @@ their weighted Jaccard similarity.
 Texts with equal sets are one class from the start and appear once from then on. `BANDS` bands of
 `ROWS` coordinates join them: at similarity 0.8 a link goes unseen with probability 7e-5, above it
 with less. Nothing is gathered per bucket. A text is first compared with the text it shares most
-buckets with among their first members, then links are joined to components, and only buckets
-whose members lie in different components go on: the small ones are compared in full (at most
-`SMALL` members each), of larger ones a few members are compared with all others and leave, round
-after round, until none is left. Each compared pair is decided by its exact similarity.
+buckets with among their first members, and links are joined to components. Texts of buckets
+that still hold several components go on: the rarest runs of each, as many as a text at the
+threshold cannot do without (1 - similarity of them, and one), are the next buckets, so that texts
+which only share a common passage part. Small buckets are compared in full (at most `SMALL`
+members each), of larger ones some members are compared with all others and leave, round after
+round, until every bucket is of one component. Each compared pair is decided by its exact similarity.
 
 Defined results: a text of fewer than five words is one run of all its words; a text without
 words, or null, is a class of its own; repeated rows and equal texts with different ids are one
@@ -33,14 +35,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import discard, slices, stored, texts
+from tickloom.llm.common import discard, slices, stored, texts, work_path
 from tickloom.llm.components import components
 from tickloom.llm.words import BASE, mix, shingles, word_hashes
 
 RUN, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 5
-#: Members up to which a bucket is compared in full; members of larger ones compared in a round.
-SMALL, CENTERS = 32, 8
+#: Members up to which a bucket is compared in full; members of larger ones compared in the first
+#: round, and how many times more in each later one, when most members share a component.
+SMALL, CENTERS, MORE = 64, 16, 8
 #: Bits of the map of keys whose sets are made: 16 MB at most.
 MOST_BITS = 1 << 27
 
@@ -188,40 +191,75 @@ def _sets_of(named: DataFrame, signed: DataFrame, members: DataFrame, run: int,
     return stored(chosen.mapInArrow(lambda b: _sets(b, run, counted), "key binary, elements binary, weights binary"), "sets")
 
 
-def _decided(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """a, b, linked of pairs (a, b), by their sets."""
+def _decide_pairs(pairs: DataFrame, sets: DataFrame, least: float, path: str) -> DataFrame:
+    """Adds a, b, linked of pairs (a, b) to the table at path, and gives all of its rows."""
     side = lambda x: sets.select(F.col("key").alias(x), F.col("elements").alias(f"elements_{x}"), F.col("weights").alias(f"weights_{x}"))
-    return stored(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(lambda b: _decide(b, least), "a binary, b binary, linked boolean"), "decided")
+    decided = pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(lambda b: _decide(b, least), "a binary, b binary, linked boolean")
+    decided.write.mode("append").parquet(path)
+    return sets.sparkSession.read.schema("a binary, b binary, linked boolean").parquet(path)
 
 
 def _pair(one: str, other: str):
     return F.least(one, other).alias("a"), F.greatest(one, other).alias("b")
 
 
-def _links(members: DataFrame, sets: DataFrame, least: float) -> DataFrame | None:
-    """key, component of the keys with links; None if there are none. members: band, key, weight, center, center_weight, n."""
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for key, elements in zip(batch.column(0), batch.column(1)):
+            found = np.frombuffer(elements.as_buffer(), dtype=np.int64)
+            for i in range(0, len(found), 1 << 16):
+                part = found[i : i + (1 << 16)]
+                yield pa.RecordBatch.from_arrays([pa.array([key.as_py()] * len(part), pa.binary()), pa.array(part)], ["key", "run"])
+
+
+def _rare_runs(keys: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """band (a run), key, weight, left (runs from this on): the first runs of each of keys (key, weight), by how many of them have a run, then by its hash.
+
+    If the similarity of two sets is `least` or more, they share one of their first
+    (1 - least) * n + 1 runs in any common order. Runs that one key alone has come first and join nothing.
+    """
+    exploded = stored(keys.join(sets, "key").select("key", "elements").mapInArrow(_runs, "key binary, run long"), "runs")
+    common = exploded.groupBy("run").agg(F.count("*").alias("n")).where("n > 1")
+    size = sets.select("key", F.floor(F.octet_length("elements") / 8).alias("size"))
+    held = exploded.join(common, "run").join(keys, "key").join(size, "key")
+    mine = Window.partitionBy("key")
+    placed = held.withColumns({"nr": F.row_number().over(mine.orderBy("n", "run")), "known": F.count("*").over(mine)})
+    first = placed.where(F.col("size") - F.col("known") + F.col("nr") <= F.floor((1 - least) * F.col("size") + 1e-9) + 1)
+    return first.select(F.col("run").alias("band"), "key", "weight", (F.col("known") - F.col("nr") + 1).alias("left"))
+
+
+def _links(members: DataFrame, sets: DataFrame, least: float, counted: bool) -> DataFrame:
+    """key, component of the keys with links. members: band, key, weight, center, center_weight."""
+    spark, path = members.sparkSession, work_path(members.sparkSession, "decided")
     alike = lambda x, y: F.least(x, y) >= least * F.greatest(x, y)  # noqa: E731  else no similarity can be enough
     first = members.where((F.col("key") != F.col("center")) & alike("weight", "center_weight")).groupBy("key", "center").agg(F.count("*").alias("n"))
     first = first.groupBy("key").agg(F.max_by("center", F.struct("n", "center")).alias("center"))
-    decided = _decided(first.select(*_pair("key", "center")).distinct(), sets, least)
-    members = members.select("band", "key", "weight")
+    decided = _decide_pairs(first.select(*_pair("key", "center")).distinct(), sets, least, path)
+    members, n_links, found, rare, turn = members.select("band", "key", "weight", F.col("weight").alias("left")), -1, None, False, 0
     while True:
-        linked = decided.where("linked")
-        found = stored(components(linked).select(F.col("node").alias("key"), "component"), "components")
+        told = decided.where("linked").count()
+        if told != n_links:  # else the components are still the same
+            n_links, found = told, stored(components(decided.where("linked")).select(F.col("node").alias("key"), "component"), "components")
         placed = members.join(found, "key", "left").withColumn("component", F.coalesce("component", "key"))
         mixed = placed.groupBy("band").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
         live = stored(placed.join(mixed.select("band", "n"), "band"), "live")
         if live.isEmpty():
             return found
-        other = lambda d: d.select("band", F.col("key").alias("key2"), F.col("weight").alias("weight2"), F.col("component").alias("component2"))
-        open_pair = (F.col("component") != F.col("component2")) & alike("weight", "weight2")
+        if not rare and not counted:
+            rare, members = True, stored(_rare_runs(live.select("key", "weight").distinct(), sets, least), "rare-runs")
+            continue
+        other = lambda d: d.select("band", F.col("key").alias("key2"), F.col("weight").alias("weight2"), F.col("component").alias("component2"), F.col("left").alias("left2"))
+        # Two sets that first meet at a run share no more than what is left of either from there on.
+        enough = F.least("left", "left2") >= least / (1 + least) * (F.col("weight") + F.col("weight2")) - 1e-6
+        open_pair = (F.col("component") != F.col("component2")) & alike("weight", "weight2") & enough
         small, large = live.where(F.col("n") <= SMALL), live.where(F.col("n") > SMALL)
-        centers = stored(large.withColumn("nr", F.row_number().over(Window.partitionBy("band").orderBy("key"))).where(F.col("nr") <= CENTERS).drop("nr"), "centers")
+        centers = stored(large.withColumn("nr", F.row_number().over(Window.partitionBy("band").orderBy("key"))).where(F.col("nr") <= CENTERS * MORE**turn).drop("nr"), "centers")
         pairs = small.join(other(small), "band").where(open_pair & (F.col("key") < F.col("key2")))
         pairs = pairs.unionByName(large.join(other(centers), "band").where(open_pair)).select(*_pair("key", "key2")).distinct()
-        more = _decided(pairs.join(decided, ["a", "b"], "left_anti"), sets, least)
-        decided = decided.unionByName(more)
-        members = large.join(centers, ["band", "key"], "left_anti").select("band", "key", "weight")
+        decided = _decide_pairs(stored(pairs.join(decided, ["a", "b"], "left_anti"), "pairs"), sets, least, path)
+        members = stored(large.join(centers, ["band", "key"], "left_anti").select("band", "key", "weight", "left"), "members")
+        discard(spark, live, centers)
+        turn = min(turn + 1, 2)
 
 
 def classes(docs: DataFrame, run: int = RUN, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, weights: str = "set") -> DataFrame:
@@ -243,7 +281,7 @@ def classes(docs: DataFrame, run: int = RUN, least: float = SIMILARITY, bands: i
     shared = banded.groupBy("band").agg(F.count("*").alias("n"), F.min(F.struct("key", "weight")).alias("c")).where("n > 1")
     members = stored(banded.join(shared, "band").select("band", "key", "weight", F.col("c.key").alias("center"), F.col("c.weight").alias("center_weight")), "members")
     sets = _sets_of(named, signed, members, run, counted)
-    found = _links(members, sets, least)
+    found = _links(members, sets, least, counted)
     own = F.coalesce(F.hex("component"), F.hex("key"), F.concat(F.lit("row "), F.monotonically_increasing_id().cast("string")))
     placed = stored(signed.drop("bands").join(found, "key", "left").select("doc_id", "text_hash", own.alias("class")), "placed")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")

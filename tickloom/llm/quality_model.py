@@ -19,12 +19,11 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import slices, texts
+from tickloom.llm.common import slices, texts, with_columns
 from tickloom.llm.words import span_hashes, word_hashes
 
 BUCKETS, SHAPES = 1 << 18, 1 << 10
@@ -35,7 +34,7 @@ SHAPE_SCALE = 25
 #: Sampled documents that must have a feature for it to get a weight.
 LEAST_DOCUMENTS = 30
 #: Rated documents to learn from, about, dealt evenly over the grades.
-SAMPLE = 12_000
+SAMPLE = 9_000
 #: Rounds of fitting, step, and penalty on squared weights.
 ROUNDS, STEP, PENALTY = 150, 0.05, 2e-4
 #: Characters' kinds in a token's shape: blanks end it; digits, capitals and other letters stand for themselves.
@@ -141,22 +140,18 @@ def score(model: Model, column: pa.StringArray) -> tuple[np.ndarray, np.ndarray]
     return model.grades[0] + above @ np.diff(model.grades), above[:, -1]
 
 
-def predict(docs: DataFrame, model: Model | None, least: float = 0.5) -> DataFrame:
-    """The rows of docs with expected_grade, p_best and selected (p_best of at least `least`)."""
-    rows = docs.drop("expected_grade", "p_best", "selected")
+def predict(docs: DataFrame, model: Model | None, least: float = 0.5, drop: tuple[str, ...] = ()) -> DataFrame:
+    """The rows of docs with expected_grade, p_best and selected (p_best of at least `least`), without columns of these names and of drop."""
+    gone = ("expected_grade", "p_best", "selected", *drop)
     if model is None:
-        return rows.withColumns({"expected_grade": F.lit(None).cast("double"), "p_best": F.lit(None).cast("double"), "selected": F.lit(True)})
+        return docs.drop(*gone).withColumns({"expected_grade": F.lit(None).cast("double"), "p_best": F.lit(None).cast("double"), "selected": F.lit(True)})
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("grade double, best double")
-    def scored(column: pd.Series) -> pd.DataFrame:
-        parts, strings = [], pa.array(column.fillna(""), pa.string())
-        for start in range(0, len(strings), 256):
-            parts.append(np.stack(score(shared.value, strings.slice(start, 256)), axis=1))
-        return pd.DataFrame(np.concatenate(parts) if parts else np.zeros((0, 2)), columns=["grade", "best"])
+    def scored(column: pa.Array) -> list[pa.Array]:
+        grade, best = score(shared.value, column)
+        return [pa.array(grade), pa.array(best), pa.array(best >= least)]
 
-    found = rows.withColumn("__found", scored(F.col("text").cast("string")))
-    return found.select(*rows.columns, F.col("__found.grade").alias("expected_grade"), F.col("__found.best").alias("p_best"), (F.col("__found.best") >= least).alias("selected"))
+    return with_columns(docs, scored, "expected_grade double, p_best double, selected boolean", gone)
 
 
 def grade_of(quality: Column, toxic: Column) -> Column:

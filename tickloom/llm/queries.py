@@ -44,7 +44,7 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = quality_model.fit(docs, labels.select("doc_id", quality_model.grade_of(F.col("quality"), F.col("toxic")).alias("grade")))
-    return quality_model.predict(docs.select("doc_id", "text"), model).drop("text")
+    return quality_model.predict(docs.select("doc_id", "text"), model, drop=("text",))
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

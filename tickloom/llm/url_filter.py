@@ -119,7 +119,7 @@ def judge(pages: DataFrame, rules=RULES, least_purity: float = LEAST_PURITY) ->
         tree = stored(_generalise(tree, at), "tree")
     for at in range(depth):
         tree = stored(_merge(tree, at), "tree")
-    told = tree.agg(F.coalesce(F.sum("blocked") / F.sum("labelled"), F.lit(0.0)).alias("share")).first()["share"]
+    told = tree.agg(F.coalesce(F.try_divide(F.sum("blocked"), F.sum("labelled")), F.lit(0.0)).alias("share")).first()["share"]
     purity = (F.sum("blocked") + F.lit(SMOOTHING * told)) / (F.sum("labelled") + F.lit(SMOOTHING))
     judged = tree.groupBy("host", "now").agg(purity.alias("purity"))
     templates = tree.select("host", "leaf", "now").join(judged, ["host", "now"]).select("host", "leaf", F.concat(F.lit("/"), F.array_join("now", "/")).alias("template"), "purity")
