@@ -1,7 +1,8 @@
 """Times the queries and one full incremental cycle; prints one JSON line.
 
 BENCH_SF_DIR is the folder of tables, BENCH_CPUS the local cores, and
-BENCH_COPIES how often the order lines are repeated for the cycle's Bronze rows.
+BENCH_COPIES how often the order lines are repeated for the cycle's Bronze rows. On a
+cluster BENCH_STORE names an empty folder that all executors share.
 """
 
 from __future__ import annotations
@@ -55,7 +56,7 @@ def drain(d) -> None:
 
 def bench_cycle(spark: SparkSession) -> dict[str, float]:
     """Order lines as one Bronze batch, loaded and summarised; then a pass with nothing new."""
-    store = Store(spark, tempfile.mkdtemp(prefix="bench-"))
+    store = Store(spark, os.environ.get("BENCH_STORE") or tempfile.mkdtemp(prefix="bench-"))
     ticks = adapters.lineitem_to_bronze(spark.read.parquet(f"{SF_DIR}/lineitem.parquet"))
     rows = ticks.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(COPIES))))
     rows = rows.withColumn("id", F.col("id") * COPIES + F.col("copy")).drop("copy")

@@ -172,3 +172,22 @@ def test_store_needs_utc(spark, tmp_path):
             Store(spark, str(tmp_path))
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_alerts_hold_every_type(store, spark):
+    from pyspark.sql import functions as F
+
+    from tickloom.plans import cycle
+    from tickloom.schemas import ERROR_LOG_SCHEMA
+
+    moment = "2024-01-30 23:05:00"
+    errors = spark.range(60).select(
+        *[
+            (F.concat(F.lit("type-"), F.col("id") % 30) if f.name == "error_type" else F.lit(moment).cast("timestamp") if f.name == "occurred_at" else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in ERROR_LOG_SCHEMA
+        ]
+    )
+    for _ in range(2):
+        cycle.record_alerts(store, errors, moment)
+    alerts = store.read("gold.error_alerts")
+    assert alerts.count() == 30 and alerts.agg(F.sum("cnt")).first()[0] == 60

@@ -213,7 +213,7 @@ def test_landing_to_messages(spark, tmp_path):
     assert (sent[""]["lastPrice"], sent[""]["volume"], sent["BTC"]["lastPrice"]) == ("0", "0", "1")
 
 
-def test_ids_grow_with_blocks_and_offsets(spark, monkeypatch):
+def test_ids_grow_with_blocks_and_offsets(spark):
     records = [(t, p, o) for t in ("a", "b") for p in (0, 1) for o in (5, 6, 9)]
     batch = spark.createDataFrame(records, "topic string, partition int, offset long")
     ids = {(r.topic, r.partition, r.offset): r.id for r in assign_ids(batch, 3).collect()}
@@ -221,10 +221,58 @@ def test_ids_grow_with_blocks_and_offsets(spark, monkeypatch):
     assert all(i >> 36 == 3 for i in ids.values())
     assert [ids[k] for k in records] == sorted(ids.values())
     assert min(i for r in [assign_ids(batch, 4)] for i in [r.agg(F.min("id")).first()[0]]) > max(ids.values())
-    monkeypatch.setattr("tickloom.operators.identity.BROADCAST_ROWS", 1)
     assert {(r.topic, r.partition, r.offset): r.id for r in assign_ids(batch, 3).collect()} == ids
 
 
 def test_checkpoint_comes_from_the_session(spark):
     assert streams.checkpoint_for(spark, "x") == f"{spark.conf.get('spark.checkpoint.dir')}/streams/x"
     assert streams.checkpoint_for(spark, "x", "/base/") == "/base/streams/x"
+
+
+def test_a_new_checkpoint_adds_and_loses_nothing(spark, place, tmp_path):
+    """Five streams under a second, fresh checkpoint on the same day: all earlier rows stay."""
+    other = str(tmp_path / "other")
+    dump(spark, place.topic, [tick(m) for m in range(0, 60, 5)] + [tick(3, price="bad")])
+    options = {"trigger": ONCE, "clock": lambda: NOW}
+
+    def run(checkpoint):
+        raw = read_topic_dump(spark, place.topic)
+        finish(streams.start_ingest(raw, place.store, checkpoint=checkpoint, **options))
+        finish(streams.start_silver(raw, place.store, checkpoint=checkpoint, **options))
+        finish(streams.start_dlq(raw, place.store, checkpoint=checkpoint, **options))
+        finish(streams.start_windows(raw, place.store, checkpoint=checkpoint, trigger=ONCE))
+
+    def counts():
+        return {n: place.store.read(n).count() for n in ("bronze.ticker_raw", "silver.ticker", "bronze.error_log", "gold.window_aggregations")}
+
+    run(place.checkpoint)
+    first = counts()
+    assert first["bronze.ticker_raw"] == 12 and first["silver.ticker"] == 12
+    run(other)
+    assert counts() == {n: 2 * v for n, v in first.items()}
+    ids = [r.id for r in place.store.read("bronze.ticker_raw").select("id").collect()]
+    assert len(set(ids)) == 24
+    run(other)
+    assert counts() == {n: 2 * v for n, v in first.items()}
+
+
+def test_numbers_of_writers(place):
+    store = place.store
+    assert [store.number_for("ingest", "a", 0), store.number_for("ingest", "a", 0), store.number_for("ingest", "b", 0)] == [1, 1, 2]
+    assert store.next_number("ingest") == 3 and store.number_for("ingest", "a", 1) == 4
+    with pytest.raises(ValueError):
+        store.number_for("ingest", "a", 0)
+
+
+def test_rows_without_close_time_are_in_a_window(spark, place):
+    dump(spark, place.topic, [tick(0), tick(1, closeTime=None)])
+    typed = silver.to_silver(bronze_of(spark, place), NOW)
+    windows = gold.window_summary(typed, computed_at=F.lit(None)).select("window_start", "record_count").collect()
+    assert sorted((r.window_start.hour, r.record_count) for r in windows) == [(0, 1), (12, 1)]
+
+
+@pytest.mark.parametrize("tail", ['{"symbol":"B"}', " trailing", ",", "]", '],["', "}", ',"x":1}'])
+def test_bytes_behind_a_value_are_refused(spark, place, tail):
+    dump(spark, place.topic, [tick(0), tick(0) + tail])
+    records = streams.checked_records(spark.read.schema(RAW_SCHEMA).parquet(place.topic))
+    assert sorted(r.error_type or "" for r in records.select("error_type").collect()) == ["", "decode_error"]

@@ -68,3 +68,10 @@ def computed_once(d: DataFrame, name: str, c: Column) -> DataFrame:
     A generator over a one-element array is not pushed through, and adds no row.
     """
     return d.select("*", F.explode_outer(F.array(c)).alias(name))
+
+
+def single_json(text: Column) -> Column:
+    """Whether a text is one JSON value with nothing behind it, which parsers that stop at its end don't tell."""
+    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    named = F.size(F.json_object_keys(F.concat(F.lit('{"d":'), text, F.lit("}")))) == 1
+    return F.coalesce(alone & named, F.lit(False))

@@ -14,6 +14,7 @@ Rule = tuple[Column, Column]
 
 # Message texts that readers of the error log match on.
 MISSING_TEXT = "Missing required field: '{}'"
+TOO_LARGE_TEXT = "Number out of range for {}: '"
 NON_NUMERIC_TEXT = "Non-numeric price/volume: could not convert string to float: '"
 
 
@@ -30,7 +31,9 @@ def missing(name: str) -> Rule:
 def non_numeric(name: str, kind: DataType) -> Rule:
     """A present value that does not fit the target decimal."""
     c = F.col(name)
-    return to_decimal(c, kind).isNull(), F.concat(F.lit(NON_NUMERIC_TEXT), c, F.lit("'"))
+    number = c.try_cast("double").isNotNull() & ~F.upper(F.trim(c)).rlike("NAN|INF")
+    text = F.when(number, F.lit(TOO_LARGE_TEXT.format(name))).otherwise(F.lit(NON_NUMERIC_TEXT))
+    return to_decimal(c, kind).isNull(), F.concat(text, c, F.lit("'"))
 
 
 def uncastable(name: str, kind: DecimalType) -> Rule:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions.casts import base64_text, computed_once, instant, utc_text
+from tickloom.functions.casts import base64_text, computed_once, instant, single_json, utc_text
 from tickloom.functions.validation import first_match, missing, non_numeric
 from tickloom.schemas import (
     DECIMAL_COLUMNS,
@@ -131,7 +131,7 @@ def dlq_to_error_log(messages: DataFrame, occurred_at) -> DataFrame:
     """
     content = F.col("value").cast("string")
     opens_object = F.ltrim(content, F.lit(" \t\r\n")).startswith("{")
-    parsed = computed_once(messages, "body", F.try_parse_json(content)).withColumn(
+    parsed = computed_once(messages, "body", F.when(single_json(content), F.try_parse_json(content))).withColumn(
         "readable", F.coalesce(F.col("body").isNotNull() & opens_object, F.lit(False))
     )
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from tickloom.functions.casts import floor_hour, instant
-from tickloom.schemas import HOURLY_SCHEMA, LATEST_SCHEMA, LEADERS_SCHEMA, MOVERS_SCHEMA, PERCENT, PRICE, VOLUME
+from tickloom.schemas import HOURLY_SCHEMA, LATEST_SCHEMA, LEADERS_SCHEMA, MOVERS_SCHEMA, PERCENT, PRICE, VOLUME, WINDOW_SCHEMA
 
 BOARD_SIZE = 20
 
@@ -109,8 +109,11 @@ def window_summary(
     watermark: str = "10 minutes",
     computed_at: Column | None = None,
 ) -> DataFrame:
-    """Tumbling windows per symbol, for batch and for streams (where the watermark closes them)."""
-    timed = silver.withColumn("_event_time", F.col(time_col))
+    """Tumbling windows per symbol, for batch and for streams (where the watermark closes them).
+
+    A row without that time counts at the time it was loaded, so every row is in a window.
+    """
+    timed = silver.withColumn("_event_time", F.coalesce(time_col, "transformed_at"))
     return (
         timed.withWatermark("_event_time", watermark)
         .groupBy(F.window("_event_time", window).alias("window"), "symbol")
@@ -122,16 +125,12 @@ def window_summary(
             average("price_change_pct", PERCENT).alias("avg_price_change_pct"),
             F.count(F.lit(1)).alias("record_count"),
         )
-        .select(
-            "symbol",
-            F.col("window.start").alias("window_start"),
-            F.col("window.end").alias("window_end"),
-            "avg_price",
-            "max_price",
-            "min_price",
-            "total_volume",
-            "avg_price_change_pct",
-            "record_count",
-            (F.current_timestamp() if computed_at is None else computed_at).alias("computed_at"),
+        .withColumns(
+            {
+                "window_start": F.col("window.start"),
+                "window_end": F.col("window.end"),
+                "computed_at": F.current_timestamp() if computed_at is None else computed_at,
+            }
         )
+        .select(*WINDOW_SCHEMA.names)
     )

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tickloom.sources.tables import BLOCK_BITS
 
-BROADCAST_ROWS = 10_000
 
 
 def assign_ids(batch: DataFrame, block: int, name: str = "id") -> DataFrame:
@@ -22,8 +21,6 @@ def assign_ids(batch: DataFrame, block: int, name: str = "id") -> DataFrame:
     before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
     width = F.col("last") - F.col("first") + 1
     starts = spans.select(*keys, (F.coalesce(F.sum(width).over(before), F.lit(0)) - F.col("first")).alias("shift"))
-    if starts.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        starts = F.broadcast(starts)
     place = F.col("offset") + F.col("shift")
     fits = place < F.lit(1 << BLOCK_BITS)
     record_id = F.when(fits, F.lit(block << BLOCK_BITS) + place + 1).otherwise(

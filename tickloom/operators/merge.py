@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -48,9 +50,11 @@ def upsert(
 
 
 def insert_absent(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Source rows, one per key, whose key the target does not hold yet.
+    """Source rows, one per key, whose key the target does not hold yet. A null key equals a null key.
 
     Pass only the part of a large target that can hold the keys (its matching
     partitions): both sides are shuffled on the key.
     """
-    return source.dropDuplicates(list(keys)).join(target.select(*keys), list(keys), "left_anti")
+    held = target.select(*[F.col(k).alias(f"_held_{k}") for k in keys])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_held_{k}")) for k in keys])
+    return source.dropDuplicates(list(keys)).join(held, same, "left_anti")

@@ -17,7 +17,6 @@ from tickloom.schemas import HOURLY_SCHEMA
 from tickloom.sources.tables import BLOCK_BITS, Marker, Store, check_layers, day_of, days_between
 
 SUMMARY_HOURS = 2
-LOGGED_TYPES = 20
 
 log = logging.getLogger(__name__)
 
@@ -39,7 +38,7 @@ def append_bronze(store: Store, rows: DataFrame, block: int | None = None) -> in
     The rows' own ids become their places in the block, so they need only be unique
     within the batch. To repeat a batch that broke off, pass the same block again.
     """
-    block = store.marker("ingested").seq + 1 if block is None else block
+    block = store.next_number("ingest") if block is None else block
     place = F.col("id")
     fits = place.isNotNull() & (place >= 0) & (place < F.lit(1 << BLOCK_BITS))
     shifted = F.when(fits, F.lit(block << BLOCK_BITS) + place).otherwise(
@@ -94,7 +93,7 @@ def load_silver(store: Store, as_of: datetime | str) -> Marker:
     complete = store.marker("ingested").high
     if complete <= done.high:
         return done
-    load = Marker(seq=done.seq + 1, low=done.high, high=complete, as_of=moment)
+    load = Marker(seq=store.next_number("silver"), low=done.high, high=complete, as_of=moment)
     store.mark("planned", load)
     _write_load(store, load)
     return load
@@ -173,10 +172,14 @@ def _enforce(gates: DataFrame) -> None:
         raise GateFailed("; ".join(failed))
 
 
-def _warn(errors: DataFrame, as_of) -> None:
-    """Logs the most frequent recent error types."""
-    for row in quality.errors_by_type(errors, as_of).take(LOGGED_TYPES):
-        log.warning("Recent errors of type %s: %d", row.error_type, row.cnt)
+def record_alerts(store: Store, errors: DataFrame, as_of: datetime | str) -> None:
+    """Stores the recent errors of every type, whose number is not bounded, and logs where they are."""
+    moment = as_utc(as_of)
+    counts = quality.errors_by_type(errors, moment).withColumn("checked_at", F.lit(moment))
+    store.replace_partitions(counts, "gold.error_alerts", day=day_of(F.col("checked_at")), run=F.lit(int(moment.timestamp())).cast("long"))
+    total = quality.recent_error_total(errors, moment).first().total
+    if total:
+        log.warning("%d recent errors; by type in gold.error_alerts, run %d", total, int(moment.timestamp()))
 
 
 def record_health(store: Store, as_of: datetime | str) -> None:
@@ -201,5 +204,5 @@ def run_gated(store: Store, as_of: datetime | str) -> None:
     _enforce(quality.gold_gate(store.read("gold.latest_prices")))
     record_health(store, as_of)
     errors = store.since("bronze.error_log", start)
-    _warn(errors, as_of)
+    record_alerts(store, errors, as_of)
     _enforce(quality.error_gate(errors, as_of))

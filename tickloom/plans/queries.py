@@ -174,9 +174,14 @@ def _snapshot_feed(feed: Feed) -> DataFrame:
 
 
 def _stored_letters(feed: Feed) -> DataFrame:
-    """Dead-letter rows not stored yet, when the plain rejects already are."""
-    keys = ["kafka_partition", "kafka_offset"]
-    return merge.insert_absent(feed.consumer_rejects, feed.dlq_rows, keys).select("source", "error_type", *keys)
+    """Dead-letter rows not stored yet, when the rejects and a third of the letters already are.
+
+    A letter is known by its source, topic, partition and offset: the same numbers in
+    another topic, or from another source, are another record.
+    """
+    keys = ["source", "kafka_topic", "kafka_partition", "kafka_offset"]
+    stored = feed.consumer_rejects.unionByName(feed.dlq_rows.filter(F.col("kafka_offset") % 3 == 0))
+    return merge.insert_absent(stored, feed.dlq_rows, keys).select("error_type", *keys)
 
 
 _QUERIES: dict[str, Callable[[Feed], DataFrame]] = {

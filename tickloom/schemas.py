@@ -174,6 +174,12 @@ HEALTH_SCHEMA = _struct(
     ("dlq_count", LongType()),
 )
 
+ALERTS_SCHEMA = _struct(
+    ("checked_at", TimestampType()),
+    ("error_type", StringType()),
+    ("cnt", LongType()),
+)
+
 
 def avro_contract(name: str = "Ticker", namespace: str = "tickloom") -> str:
     """The ticker message as an Avro schema: required text, or nullable with a null default."""

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tickloom.functions.casts import computed_once
+from tickloom.functions.casts import computed_once, single_json
 from tickloom.schemas import SNAPSHOT_SCHEMA, TICKER_SCHEMA, WIRE_COLUMNS, avro_contract
 
 # Fixed values of the registry framing: one zero byte, then a 4-byte schema id.
@@ -28,10 +28,12 @@ def _record(parsed: DataFrame, ok: Column) -> DataFrame:
 
 
 def decode_json(raw: DataFrame, schema: StructType = TICKER_SCHEMA) -> DataFrame:
-    """JSON values to wire columns; ``decode_ok`` is false for null, malformed or mistyped values."""
+    """JSON values to wire columns; ``decode_ok`` is false for null, malformed or mistyped values, and for
+    values with anything behind them."""
     checked = StructType([*schema.fields, StructField(CORRUPT, StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = F.from_json(F.col("value").cast("string"), checked, options)
+    text = F.col("value").cast("string")
+    parsed = F.when(single_json(text), F.from_json(text, checked, options))
     ok = F.col("data").isNotNull() & F.col(f"data.{CORRUPT}").isNull()
     return _record(computed_once(raw, "data", parsed), ok).drop(CORRUPT)
 

@@ -16,7 +16,6 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, LongType, StructField, StructType, TimestampType
@@ -29,9 +28,18 @@ LAYERS = ["bronze", "silver", "gold"]
 # which leaves room for 68 billion records in a batch and 134 million batches.
 BLOCK_BITS = 36
 SLOTS = 2
+# Markers that also hold numbers of a kind, from before numbers were drawn.
+NUMBERED = {"ingest": ("ingested",), "silver": ("loaded", "planned")}
 UTC_ZONES = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
 
 
+def exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether any file or folder has this path, which may hold wildcards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return found is not None and len(found) > 0
+
+
 @dataclass(frozen=True)
 class Table:
     schema: StructType
@@ -64,6 +72,7 @@ TABLES = {
     "gold.hourly_summary": Table(schemas.HOURLY_SCHEMA, (_DAY,)),
     "gold.window_aggregations": Table(schemas.WINDOW_SCHEMA, (_DAY, ("batch", LongType()))),
     "gold.pipeline_health": Table(schemas.HEALTH_SCHEMA),
+    "gold.error_alerts": Table(schemas.ALERTS_SCHEMA, (_DAY, ("run", LongType()))),
 }
 
 _MARKER = StructType(
@@ -104,14 +113,10 @@ class Store:
 
     def scan(self, name: str, below: str = "") -> DataFrame:
         """A table with its partition columns; empty while nothing is stored."""
-        stored = TABLES[name].stored
-        try:
-            reader = self.spark.read.schema(stored).option("basePath", self.path(name))
-            return reader.parquet(self.path(name) + below)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not exists(self.spark, self.path(name) + below):
             return self.empty(name)
+        reader = self.spark.read.schema(TABLES[name].stored).option("basePath", self.path(name))
+        return reader.parquet(self.path(name) + below)
 
     def read(self, name: str, days: Iterable[date] | None = None) -> DataFrame:
         """A table's rows. With ``days`` only those day folders are listed at all."""
@@ -161,12 +166,9 @@ class Store:
         return f"{self.root}/state/{name}"
 
     def _newest(self, name: str):
-        try:
-            rows = self.spark.read.schema(_MARKER_STORED).json(self.marker_path(name))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not exists(self.spark, self.marker_path(name)):
             return None
+        rows = self.spark.read.schema(_MARKER_STORED).json(self.marker_path(name))
         columns = ["seq", "low", "high", F.unix_micros("as_of").alias("micros"), "slot"]
         return rows.filter(F.col("seq").isNotNull()).select(*columns).orderBy(F.col("seq").desc()).first()
 
@@ -191,6 +193,27 @@ class Store:
         )
         row.coalesce(1).write.mode("overwrite").json(f"{self.marker_path(name)}/slot={slot}")
 
+    def next_number(self, kind: str) -> int:
+        """A number (of a block, load or batch) that no writer of this kind has had."""
+        used = max(self.marker(f"{kind}_numbers").seq, *(self.marker(m).seq for m in NUMBERED.get(kind, ())), 0)
+        self.mark(f"{kind}_numbers", Marker(seq=used + 1))
+        return used + 1
+
+    def number_for(self, kind: str, writer: str, batch_id: int) -> int:
+        """The number of a stream's batch: the one its first try got, else the next one.
+
+        A stream repeats only its last batch. Batch numbers of another writer, such as the
+        same stream under a new checkpoint, say nothing about this one's.
+        """
+        own = self.marker(f"{kind}_writer_{writer}")
+        if own.seq == batch_id + 1:
+            return own.low
+        if own.seq > batch_id + 1:
+            raise ValueError(f"Batch {batch_id} of {kind} writer {writer} comes after its batch {own.seq - 1}")
+        number = self.next_number(kind)
+        self.mark(f"{kind}_writer_{writer}", Marker(seq=batch_id + 1, low=number))
+        return number
+
     def block_end(self, block: int) -> int:
         """The largest id a block can hold."""
         return ((block + 1) << BLOCK_BITS) - 1

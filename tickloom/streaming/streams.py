@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timezone
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from tickloom.operators import gold, silver
 from tickloom.operators.identity import assign_ids
 from tickloom.plans.cycle import write_bronze, write_errors, write_silver
 from tickloom.sources.decode import decode
-from tickloom.sources.tables import Marker, Store, day_of
+from tickloom.sources.tables import Marker, Store, day_of, exists
 
 # Fixed value: how often a stream takes its next micro-batch.
 TRIGGER = {"processingTime": "30 seconds"}
@@ -40,6 +41,14 @@ def checkpoint_for(spark: SparkSession, name: str, base: str | None = None) -> s
     return f"{root.rstrip('/')}/streams/{name}"
 
 
+def writer_of(spark: SparkSession, name: str, checkpoint: str | None) -> str:
+    """The name of a stream's writer, kept with its checkpoint: a new checkpoint is a new writer."""
+    path = f"{checkpoint_for(spark, name, checkpoint)}/writer"
+    if not exists(spark, f"{path}/_SUCCESS"):
+        spark.createDataFrame([(uuid4().hex,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    return spark.read.text(path).first().value
+
+
 def _start(d: DataFrame, name: str, sink: Sink, trigger: dict | None, checkpoint: str | None) -> StreamingQuery:
     return (
         d.writeStream.queryName(name)
@@ -69,7 +78,7 @@ def start_ingest(
     Counts of seen, rejected and stored records come with the query's progress
     under ``ingest_tallies``.
     """
-    bad = F.col("error_type").isNotNull()
+    writer, bad = writer_of(store.spark, "ingest", checkpoint), F.col("error_type").isNotNull()
     counted = checked_records(raw, fmt).observe(
         TALLIES,
         F.count(F.lit(1)).alias("total"),
@@ -82,7 +91,7 @@ def start_ingest(
         try:
             if checked.isEmpty():
                 return
-            block = batch_id + 1
+            block = store.number_for("ingest", writer, batch_id)
             moment = store.batch_clock("ingest", block, clock())
             errors = ingest.to_error_log(ingest.rejected(checked), "consumer", moment)
             write_errors(store, errors, block)
@@ -105,13 +114,14 @@ def start_silver(
     clock: Clock = utc_now,
 ) -> StreamingQuery:
     """Topic records straight to Silver rows; everything refused goes to the error log."""
+    writer = writer_of(store.spark, "silver", checkpoint)
 
     def store_batch(batch: DataFrame, batch_id: int) -> None:
         checked = batch.persist()
         try:
             if checked.isEmpty():
                 return
-            load = batch_id + 1
+            load = store.number_for("silver", writer, batch_id)
             moment = store.batch_clock("silver", load, clock())
             numbered = assign_ids(ingest.valid(checked), load)
             ticks = ingest.to_bronze(numbered, F.lit(None).cast("timestamp"), F.col("id"))
@@ -131,13 +141,13 @@ def typed_stream(raw: DataFrame, fmt: str = "json") -> DataFrame:
     return silver.to_silver(ticks, F.current_timestamp())
 
 
-def store_windows(store: Store) -> Sink:
+def store_windows(store: Store, writer: str) -> Sink:
     def write(batch: DataFrame, batch_id: int) -> None:
         store.replace_partitions(
             batch,
             "gold.window_aggregations",
             day=day_of(F.col("window_start")),
-            batch=F.lit(batch_id).cast("long"),
+            batch=F.lit(store.number_for("windows", writer, batch_id)).cast("long"),
         )
 
     return write
@@ -159,7 +169,8 @@ def start_windows(
     ``time_col`` is the tick's own time by default; ``transformed_at`` selects processing time.
     """
     windows = gold.window_summary(typed_stream(raw, fmt), time_col, window, watermark)
-    return _start(windows, "windows", sink or store_windows(store), trigger, checkpoint)
+    sink = sink or store_windows(store, writer_of(store.spark, "windows", checkpoint))
+    return _start(windows, "windows", sink, trigger, checkpoint)
 
 
 def start_dlq(
@@ -170,11 +181,13 @@ def start_dlq(
     clock: Clock = utc_now,
 ) -> StreamingQuery:
     """Dead-letter records to error-log rows, each topic position once per batch."""
+    writer = writer_of(store.spark, "dlq", checkpoint)
 
     def store_batch(batch: DataFrame, batch_id: int) -> None:
-        moment = store.batch_clock("dlq", batch_id + 1, clock())
+        number = store.number_for("dlq", writer, batch_id)
+        moment = store.batch_clock("dlq", number, clock())
         once = batch.dropDuplicates(["topic", "partition", "offset"])
-        write_errors(store, ingest.dlq_to_error_log(once, moment), batch_id + 1)
+        write_errors(store, ingest.dlq_to_error_log(once, moment), number)
 
     return _start(messages, "dlq", store_batch, trigger, checkpoint)
 
