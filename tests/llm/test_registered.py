@@ -45,8 +45,9 @@ def test_pipeline_stages(spark, sf_dir):
     known = corpus_pipeline.language_id(spark, docs.unionByName(junk), sf_dir)
     assert sorted(known.collect()) == sorted(docs.collect())
 
-    rated = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    good = corpus_pipeline.quality(spark, docs, sf_dir).select("doc_id").join(rated, "doc_id")
+    more = sf_dir.replace("0.001", "0.01")
+    rated = spark.read.parquet(f"{more}/labels.parquet")
+    good = corpus_pipeline.quality(spark, spark.read.parquet(f"{more}/documents.parquet"), more).select("doc_id").join(rated, "doc_id")
     bad = F.expr("toxic = 1 OR quality = 0")
     assert good.where(~bad).count() >= 0.95 * rated.where(~bad).count() and good.where(bad).count() <= 0.2 * rated.where(bad).count()
 

@@ -31,8 +31,8 @@ BUCKETS, SHAPES = 1 << 18, 1 << 10
 WEIGHTS = BUCKETS + SHAPES + 1
 #: The value of a shape that all tokens have; a word's value is 1.
 SHAPE_SCALE = 25
-#: Sampled documents that must have a feature for it to get a weight.
-LEAST_DOCUMENTS = 30
+#: Share of the sampled documents, and number of them, that must have a feature for it to get a weight.
+LEAST_SHARE, LEAST_DOCUMENTS = 0.003, 3
 #: Rated documents to learn from, about, dealt evenly over the grades.
 SAMPLE = 9_000
 #: Rounds of fitting, step, and penalty on squared weights.
@@ -125,7 +125,7 @@ def fit(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE) -> Model | No
         return None
     offsets = np.concatenate(([0], np.cumsum(rows.column("buckets").combine_chunks().value_lengths().to_numpy())))
     buckets, values = (rows.column(c).combine_chunks().flatten().to_numpy() for c in ("buckets", "values"))
-    frequent = np.bincount(buckets, minlength=WEIGHTS)[buckets] >= LEAST_DOCUMENTS
+    frequent = np.bincount(buckets, minlength=WEIGHTS)[buckets] >= max(LEAST_DOCUMENTS, LEAST_SHARE * len(grade))
     rows_of = np.repeat(np.arange(len(grade)), np.diff(offsets))[frequent]
     offsets, buckets, values = np.concatenate(([0], np.cumsum(np.bincount(rows_of, minlength=len(grade))))), buckets[frequent], values[frequent]
     weight = np.array([counts[g] for g in grades])[grade] / np.bincount(grade)[grade]
