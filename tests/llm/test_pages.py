@@ -97,6 +97,16 @@ def test_a_template_without_rules_of_its_own_can_be_rejected(spark):
     assert got["/uz/1"].rule is None and got["/uz/1"].template == "/*/*" and got["/uz/1"].verdict == "block"
 
 
+def test_a_template_without_labels_is_allowed_whatever_the_others_are(spark):
+    """Nearly all labelled urls are blocked; that says nothing about templates without a labelled url."""
+    rules = (("bad.net/", "block"), ("bad.net/en/", "allow"))
+    clean = ["http://clean.org/x/y", "http://clean.com/a", "http://clean.com", "no scheme", None]
+    urls = [f"http://bad.net/de/{i}" for i in range(60)] + ["http://bad.net/en/1"] + clean
+    got = {r.page_id: r for r in url_filter.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules).collect()}
+    assert {got[i].verdict for i in range(60)} == {"block"} and got[60].verdict == "allow"
+    assert [(got[i].rule, got[i].verdict) for i in range(61, 66)] == [(None, "allow")] * 5
+
+
 def test_deep_paths(spark):
     urls = ["http://h.org/" + "/".join("abcdefghijkl") + f"/{i}" for i in range(3)]
     got = url_filter.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")).collect()

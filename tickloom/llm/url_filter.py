@@ -7,8 +7,9 @@ urls each, become wildcards; then branches of a place that have the same shape b
 labelled urls are statistically alike (two-proportion z-test against the pooled share) are merged
 into a wildcard. The labels are what the rules say, block or allow. A template is rejected if the
 share of blocked among its labelled urls, smoothed toward the share among all labelled urls, reaches
-`least_purity`; branches without labels are merged only with such ones, so nothing is blocked
-without labelled evidence of its own template.
+`least_purity`; branches without labels are merged only with such ones, and a template without a
+labelled url is allowed whatever its smoothed share, so nothing is blocked without labelled evidence
+of its own template.
 
 All steps after the first work on counts per (host, template), pre-aggregated in each task, so a
 host with a third of all urls is a few rows. Segments below `MOST_DEPTH` become one `**`: they
@@ -121,7 +122,7 @@ def judge(pages: DataFrame, rules=RULES, least_purity: float = LEAST_PURITY) ->
         tree = stored(_merge(tree, at), "tree")
     told = tree.agg(F.coalesce(F.try_divide(F.sum("blocked"), F.sum("labelled")), F.lit(0.0)).alias("share")).first()["share"]
     purity = (F.sum("blocked") + F.lit(SMOOTHING * told)) / (F.sum("labelled") + F.lit(SMOOTHING))
-    judged = tree.groupBy("host", "now").agg(purity.alias("purity"))
-    templates = tree.select("host", "leaf", "now").join(judged, ["host", "now"]).select("host", "leaf", F.concat(F.lit("/"), F.array_join("now", "/")).alias("template"), "purity")
-    method = F.when(F.col("purity") >= least_purity, "block").otherwise("allow")
+    judged = tree.groupBy("host", "now").agg(purity.alias("purity"), (F.sum("labelled") > 0).alias("told"))
+    templates = tree.select("host", "leaf", "now").join(judged, ["host", "now"]).select("host", "leaf", F.concat(F.lit("/"), F.array_join("now", "/")).alias("template"), "purity", "told")
+    method = F.when(F.col("told") & (F.col("purity") >= least_purity), "block").otherwise("allow")
     return rows.join(templates, ["host", "leaf"]).select("page_id", "host", "path", F.col("fit.rule").alias("rule"), F.coalesce("fit.verdict", method).alias("verdict"), "template", "purity")
