@@ -21,8 +21,10 @@ BPE_PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that is learned from them: those without letters or without a clear language go."""
-    found = language.predict(docs, language.fit(docs))
-    # Where nothing was learned there is nothing to reject by.
+    model = language.fit(docs)
+    if model is None:  # Nothing was learned, so only a text without letters can be rejected.
+        return language.lettered(docs).select(*COLUMNS)
+    found = language.predict(docs, model)
     return found.where((found.lang_pred != "und") & (found.score >= LEAST_LANGUAGE_SCORE)).select(*COLUMNS)
 
 

@@ -71,6 +71,15 @@ def test_stages_on_odd_and_empty_documents(spark, odd_docs, no_docs, sf_dir):
             assert name == "byte_bpe" or out.columns == corpus_pipeline.COLUMNS
 
 
+def test_documents_without_any_language_are_kept(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(*corpus_pipeline.COLUMNS).withColumn("lang", F.lit(None).cast("string"))
+    junk = spark.createDataFrame([(10**9, "1234 5678 !!", None, "s", 1), (10**9 + 1, None, None, None, None)], docs.schema)
+    kept = corpus_pipeline.language_id(spark, docs.unionByName(junk), sf_dir)
+    assert sorted(map(str, kept.collect())) == sorted(map(str, docs.collect()))
+    wordless = junk.withColumn("lang", F.lit("en")).unionByName(docs)
+    assert corpus_pipeline.language_id(spark, wordless, sf_dir).count() == docs.count()
+
+
 def test_the_rest_works_without_the_package(tmp_path):
     shutil.copytree(ROOT / "tickloom", tmp_path / "tickloom", ignore=shutil.ignore_patterns("llm", "__pycache__"))
     shutil.copy(ROOT / "__spark_entry__.py", tmp_path)

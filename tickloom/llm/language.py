@@ -137,6 +137,11 @@ def predict(docs: DataFrame, model: Model | None, drop: tuple[str, ...] = ()) ->
     return with_columns(docs, scored, "lang_pred string, score double", gone)
 
 
+def lettered(docs: DataFrame) -> DataFrame:
+    """The rows of docs whose text has letters."""
+    return with_columns(docs, lambda column: [pa.array([len(ngrams(t.as_py())) > 0 for t in column], pa.bool_())], "__lettered boolean").where("__lettered").drop("__lettered")
+
+
 def held_out(doc_id: Column) -> Column:
     """Whether a document stays out of training: crc32 of its id as text, modulo 4, is 2."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
