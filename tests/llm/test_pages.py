@@ -46,6 +46,25 @@ def test_pages(page, text):
     assert html.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<p>Out</p><main><h1>Title</h1><p>Lead</p><article><p>The article itself</p></article><p>Note</p></main>", "Title\nLead\nThe article itself\nNote"),
+        ("<main><article><p>First one</p></article><article><p>Second</p></article></main><p>Out</p>", "First one\nSecond"),
+        ("<div><article><p>First one</p></article><p>x</p><article><p>Second</p></article></div>", "First one\nSecond"),
+        ("<article><p>Before</p><article><p>A quoted article</p></article><p>After</p></article>", "Before\nA quoted article\nAfter"),
+        ("<article><p>Before</p><nav><a href=a>Menu</a></nav><header><p>H</p></header><p>After</p></article>", "Before\nAfter"),
+        ("<div class=content><p>Before the menu</p><nav><a href=a>Menu</a></nav><p>After</p></div><footer>Foot</footer><p>Out</p>", "Before the menu\nAfter"),
+        ("<div class=content><div>Before</div><header>x</header><div>After it all</div></div>", "Before\nAfter it all"),
+        ("<div><p>Before the links</p><ul><li><a href=a>a</a><li><a href=b>b</a><li><a href=c>c</a></ul><p>After</p></div>", "Before the links\nAfter"),
+        ("<p>Before the links</p><ul><li><a href=a>a</a><li><a href=b>b</a><li><a href=c>c</a><li><a href=d>d</a></ul><p>After</p>", "Before the links\nAfter"),
+        (f"<article><p>Card</p></article><div><p>Lead</p><article>x</article>{ARTICLE}</div>", f"Lead\nx\n{EXPECTED}"),
+    ],
+)
+def test_pages_with_nested_articles_and_menus_inside(page, text):
+    assert html.main_text(page) == text
+
+
 def test_odd_pages(spark):
     long = "<article>" + "<p>word word</p>" * 50_000 + "</article>"
     rows = [(1, None, None), (2, "u", ""), (2, "u", ""), (None, "u", "<p>x</p>"), (3, "u", long), (4, "u", "<" * 2000 + "<a <b"), (5, "u", "<div>" * 3000 + "deep")]

@@ -3,11 +3,14 @@
 Markup is stripped to lines, one per block element. Containers that are never the article
 (menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, comments, hidden
 parts) leave an empty line; menus, headers and footers outside an article leave as many
-as a window is wide, and so do the borders of articles. Lines that are mostly link text count as
+as a window is wide, and so do the borders of outermost articles. Lines that are mostly link text count as
 empty outside articles. The text lengths of `width` lines in a
-row are summed: where the sum leaves zero is a surge, where it returns to zero a dive. Of the
-stretches between surge and dive the one with the most text is the main text, whole: short
-paragraphs between its ends count like long ones.
+row are summed: where the sum leaves zero is a surge, where it returns to zero a dive. All that lies
+in the outermost <article> and <main> elements is one stretch, nested ones and several included. Of it and
+the stretches between surge and dive outside, the one with the most text is the main text, whole: short
+paragraphs between its ends count like long ones. A stretch outside is widened to the smallest container
+(a div, section or cell of more than one line) around it, so menus in the midst of the content don't cut it;
+without a container, to the next menu, header, footer or article.
 
 Defined results: a null or empty html, or a page without text, has the empty text; unclosed
 elements end with the page, and an unclosed container hides only its own line; of stretches
@@ -19,6 +22,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -48,6 +52,9 @@ MARKED = frozenset(
     " complementary contentinfo search toolbar skip disclaimer".split()
 )
 
+#: What holds the content of a page without an article or main.
+CONTAINERS = frozenset("div section td center blockquote".split())
+
 #: Between what comes before and after these, outside an article, there is always a dive.
 BORDERS = frozenset("nav header footer".split())
 
@@ -110,55 +117,61 @@ def _closers(tokens: list[tuple[str, str, str]]) -> dict[int, int]:
     return out
 
 
-def lines(page: str, width: int = WIDTH) -> list[str]:
-    """The lines of a page; empty lines where something was left out."""
-    tokens = _tokens(page)
+def lines(page: str, width: int = WIDTH) -> list[tuple[str, int, int]]:
+    """The lines of a page with the place of their end and the outermost article or main they lie in (its number from 1, else 0).
+
+    Empty lines stand where something was left out; those at borders have the place -1.
+    """
+    return _lines(_tokens(page), width)
+
+
+def _lines(tokens: list[tuple[str, str, str]], width: int) -> list[tuple[str, int, int]]:
     closers = _closers(tokens)
-    out: list[str] = []
+    skipped = {i: closers.get(i, i) + 1 for i, (kind, name, attributes) in enumerate(tokens) if kind == "open" and name not in VOID and _left_out(name, attributes)}
+    out: list[tuple[str, int, int]] = []
     parts: list[str] = []
-    links = total = depth = link_end = 0
-    skip_to = -1
-    article_ends: list[int] = []
+    links = total = link_end = regions = 0
+    skip_to, article_end, last = -1, 0, 0
+    border = [("", -1, 0)] * width
 
     def flush() -> None:
         nonlocal links, total
         text = GAP.sub(" ", html.unescape("".join(parts))).strip()
         if text:
-            out.append("" if not article_ends and total and links / total >= LINK_SHARE else text)
+            out.append(("" if not article_end and total and links / total >= LINK_SHARE else text, last, regions if article_end else 0))
         parts.clear()
         links = total = 0
 
     for i, (kind, name, attributes) in enumerate(tokens):
         if i < skip_to:
             continue
-        if article_ends and i >= article_ends[-1]:
+        if article_end and i >= article_end:
             flush()
-            article_ends.pop()
-            out.extend([""] * width)
+            article_end = 0
+            out.extend(border)
         if kind == "text":
             parts.append(name)
+            last = i if name.strip() else last
             n = len(name.strip())
             total += n
             links += n if i < link_end else 0
-        elif kind == "open" and _left_out(name, attributes):
-            if name in VOID:
-                continue
-            end = closers.get(i)
+        elif kind == "open" and i in skipped:
             if name in BLOCKS or name in ("script", "style", "noscript", "template"):
                 if name in BLOCKS:
                     flush()
-                    if name in BORDERS and not article_ends:
-                        out.extend([""] * width)
-                    elif not out or out[-1]:
-                        out.append("")
+                    if name in BORDERS and not article_end:
+                        out.extend(border)
+                    elif not out or out[-1][0]:
+                        out.append(("", i, 0))
             else:
                 parts.append(" ")
-            skip_to = end + 1 if end is not None else i + 1
+            skip_to = skipped[i]
         elif name in BLOCKS:
             flush()
-            if kind == "open" and name in ARTICLE:
-                out.extend([""] * width)
-                article_ends.append(closers.get(i, len(tokens)))
+            if kind == "open" and name in ARTICLE and not article_end:
+                out.extend(border)
+                regions += 1
+                article_end = closers.get(i, len(tokens))
         elif name == "br":
             parts.append(" ")
         elif name == "a" and kind == "open":
@@ -167,10 +180,25 @@ def lines(page: str, width: int = WIDTH) -> list[str]:
     return out
 
 
+def _container(found: list[tuple[str, int, int]], begin: int, end: int, tokens: list[tuple[str, str, str]]) -> tuple[int, int] | None:
+    """The first and last line of the smallest container of the stretch that has more than one line; None if that is the page."""
+    texts_at = [(place, k) for k, (text, place, _) in enumerate(found) if text]
+    places = [place for place, _ in texts_at]
+    first, last = (next(found[k][1] for k in order if found[k][0]) for order in (range(begin, end), range(end - 1, begin - 1, -1)))
+    # Those that close last come first; the smallest one is the one that opens last.
+    for a, b in sorted(((a, b) for a, b in _closers(tokens).items() if tokens[a][1] in CONTAINERS and a < first and b > last), reverse=True):
+        low, high = bisect_left(places, a), bisect_left(places, b)
+        if high - low > 1:
+            return texts_at[low][1], texts_at[high - 1][1]
+    return None
+
+
 def main_text(page: str, width: int = WIDTH) -> str:
-    """The main text: the blocks between the surge and the dive that have the most text between them, one per line."""
-    found = lines(page, width)
-    sizes = [len(x) for x in found]
+    """The main text, one block per line: all in the outermost articles and mains, or the blocks of the container in which
+    those between the surge and the dive with the most text lie, whichever of the two has more."""
+    tokens = _tokens(page)
+    found = _lines(tokens, width)
+    sizes = [len(text) if not region else 0 for text, _, region in found]
     best, best_size, begin, size, window = (0, 0), 0, None, 0, 0
     for i in range(len(found) + width):
         window += sizes[i] if i < len(found) else 0
@@ -180,9 +208,22 @@ def main_text(page: str, width: int = WIDTH) -> str:
         size += sizes[i] if i < len(found) else 0
         if not window and begin is not None:  # dive
             if size > best_size:
-                best, best_size = (begin, i), size
+                best, best_size = (begin, min(i, len(found))), size
             begin = None
-    return "\n".join(x for x in found[best[0] : best[1]] if x)
+    if sum(len(text) for text, _, region in found if region) >= max(best_size, 1):
+        return "\n".join(text for text, _, region in found if region and text)
+    if not best_size:
+        return ""
+    begin, end = best
+    held = _container(found, begin, end, tokens)
+    if held:
+        begin, end = min(begin, held[0]), max(end, held[1] + 1)
+    else:  # In no container only borders end the text; lines of links don't.
+        while begin and found[begin - 1][1] >= 0:
+            begin -= 1
+        while end < len(found) and found[end][1] >= 0:
+            end += 1
+    return "\n".join(text for text, _, _ in found[begin:end] if text)
 
 
 def _extract(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
