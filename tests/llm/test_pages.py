@@ -65,6 +65,24 @@ def test_pages_with_nested_articles_and_menus_inside(page, text):
     assert html.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<article class='post comments-open'>{ARTICLE}</article><p>Out</p>", EXPECTED),
+        (f"<div id='content' class='has-sidebar'>{ARTICLE}</div>", EXPECTED),
+        (f"<div id='content' class='post comments-open'>{ARTICLE}</div>", EXPECTED),
+        (f"<article class='related-post'>{ARTICLE}</article>", EXPECTED),
+        (f"<div class='sidebar-right'><article>{ARTICLE}</article></div>", EXPECTED),
+        (f"<form class=search><main>{ARTICLE}</main></form>", EXPECTED),
+        (f"<article>{ARTICLE}</article><div class=related><article><p>Another one</p></article></div>", EXPECTED),
+        (f"<div>{ARTICLE}</div><div class='comments-area'><article><p>Great text, I liked it a lot and much more than that</p></article></div>", EXPECTED),
+        (f"<div>{ARTICLE}</div><div class='site-footer'>Foot</div><div class='cookie-notice'>We use cookies</div>", EXPECTED),
+    ],
+)
+def test_class_names_tell_only_as_a_whole_or_by_their_head(page, text):
+    assert html.main_text(page) == text
+
+
 def test_odd_pages(spark):
     long = "<article>" + "<p>word word</p>" * 50_000 + "</article>"
     rows = [(1, None, None), (2, "u", ""), (2, "u", ""), (None, "u", "<p>x</p>"), (3, "u", long), (4, "u", "<" * 2000 + "<a <b"), (5, "u", "<div>" * 3000 + "deep")]

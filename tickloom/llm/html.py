@@ -12,6 +12,10 @@ paragraphs between its ends count like long ones. A stretch outside is widened t
 (a div, section or cell of more than one line) around it, so menus in the midst of the content don't cut it;
 without a container, to the next menu, header, footer or article.
 
+A class, id or role tells of such a container only as a whole name or by its first word (after a word for a
+place, as in site-footer), and not with a state behind it (comments-open). Articles and what
+holds the page's main, or its only articles, are not left out for that, except in comments.
+
 Defined results: a null or empty html, or a page without text, has the empty text; unclosed
 elements end with the page, and an unclosed container hides only its own line; of stretches
 with equal text the first is taken; repeated rows give repeated results; an empty table gives no
@@ -22,7 +26,7 @@ from __future__ import annotations
 
 import html
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -52,6 +56,12 @@ MARKED = frozenset(
     " complementary contentinfo search toolbar skip disclaimer".split()
 )
 
+# Those that name comments; words before them that tell their place, and words behind them that tell a state of what has the class.
+COMMENTS = frozenset("comment comments commentlist respond replies disqus".split())
+PLACES = frozenset("site page main primary secondary top bottom left right global".split())
+STATES = frozenset("open closed enabled disabled on off".split())
+#: Elements left out by their name that are not if they hold a main, or the page's only articles.
+SPARED = frozenset("header footer aside form dialog".split())
 #: What holds the content of a page without an article or main.
 CONTAINERS = frozenset("div section td center blockquote".split())
 
@@ -87,18 +97,29 @@ def _tokens(page: str) -> list[tuple[str, str, str]]:
     return out
 
 
-def _left_out(name: str, attributes: str) -> bool:
-    if name in LEFT_OUT:
+def _telling(name: str) -> str:
+    """The word of MARKED that a class name is, or that it begins with; empty if there is none, or if it names a state."""
+    first, *rest = [w for w in re.split(r"[^a-z0-9]+", name) if w] or [""]
+    if first in PLACES and len(rest) == 1:
+        first, rest = rest[0], []
+    return first if first in MARKED and not (rest and rest[-1] in STATES) else ""
+
+
+def _left_out(name: str, attributes: str, holds: bool = False) -> bool:
+    """Whether an element is never the article. holds: whether it has an article or main in it that counts."""
+    if name in LEFT_OUT and not (holds and name in SPARED):
         return True
-    if not attributes or name in ("body", "html", *ARTICLE) and not re.search("class|id|role", attributes):
-        return False
     for m in ATTRIBUTE.finditer(attributes):
         key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if key in ("class", "id", "role"):
-            words = re.split(r"[^a-z0-9]+", value)
             if name in ("body", "html", "main"):
                 continue
-            if MARKED & {*words}:
+            if name == "article":
+                if "comment" in value.split():
+                    return True
+                continue
+            words = {_telling(x) for x in value.split()} - {""}
+            if words & COMMENTS or words and not holds:
                 return True
         elif key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             return True
@@ -117,6 +138,30 @@ def _closers(tokens: list[tuple[str, str, str]]) -> dict[int, int]:
     return out
 
 
+def _skipped(tokens: list[tuple[str, str, str]], closers: dict[int, int]) -> dict[int, int]:
+    """For every opening tag of an element that is left out, the place behind the element.
+
+    An element that holds a main, or the page's only articles, isn't left out for its name or class.
+    """
+    at = {n: [i for i, (kind, name, _) in enumerate(tokens) if kind == "open" and name == n] for n in ARTICLE}
+    inside = lambda i, places: bool(places) and bisect_left(places, closers.get(i, i)) > bisect_right(places, i)
+
+    def walk(of: list[str]) -> tuple[dict[int, int], bool]:
+        out, i, any_article = {}, 0, False
+        while i < len(tokens):
+            kind, name, attributes = tokens[i]
+            if kind == "open" and name not in VOID and _left_out(name, attributes, any(inside(i, at[n]) for n in of)):
+                out[i] = closers.get(i, i) + 1
+                i = out[i]
+                continue
+            any_article |= kind == "open" and name in ARTICLE
+            i += 1
+        return out, any_article
+
+    out, any_article = walk(["main"])
+    return out if any_article or not at["article"] else walk(["main", "article"])[0]
+
+
 def lines(page: str, width: int = WIDTH) -> list[tuple[str, int, int]]:
     """The lines of a page with the place of their end and the outermost article or main they lie in (its number from 1, else 0).
 
@@ -127,7 +172,7 @@ def lines(page: str, width: int = WIDTH) -> list[tuple[str, int, int]]:
 
 def _lines(tokens: list[tuple[str, str, str]], width: int) -> list[tuple[str, int, int]]:
     closers = _closers(tokens)
-    skipped = {i: closers.get(i, i) + 1 for i, (kind, name, attributes) in enumerate(tokens) if kind == "open" and name not in VOID and _left_out(name, attributes)}
+    skipped = _skipped(tokens, closers)
     out: list[tuple[str, int, int]] = []
     parts: list[str] = []
     links = total = link_end = regions = 0
