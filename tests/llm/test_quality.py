@@ -26,6 +26,17 @@ def test_held_out_grades(spark, sf_dir):
     assert max(mean[:2]) < mean[2]
 
 
+def test_toxic_texts_without_frequent_insults_go(spark, sf_dir):
+    """Beginnings of words tell toxic texts whose words are rare."""
+    folder = sf_dir.replace("0.001", "0.1")
+    docs, rated = spark.read.parquet(f"{folder}/documents.parquet"), grades(spark, folder)
+    out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    model = quality_model.fit(docs, rated.where(~out))
+    rows = quality_model.predict(docs.join(rated.where(out), "doc_id"), model).select("grade", "expected_grade", "selected").collect()
+    share, mean = ([np.mean([r[c] for r in rows if r.grade == g]) for g in range(3)] for c in ("selected", "expected_grade"))
+    assert share[0] < 0.15 and share[1] < 0.15 and share[2] > 0.97 and mean == sorted(mean)
+
+
 def test_odd_documents_and_ratings(spark, odd_docs, no_docs):
     schema = "doc_id long, grade int"
     rated = spark.createDataFrame([(1, 2), (1, 0), (2, 1), (5, 2), (6, 2), (None, 1), (7, None)], schema)

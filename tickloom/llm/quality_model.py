@@ -1,11 +1,13 @@
 """Graded quality by ordinal cumulative-link regression on hashed text.
 
-A text's features are its words (present or not), the shares of its token shapes, hashed to
+A text's features are its words and their beginnings of HEADS bytes (present or not), the shares of its token shapes, hashed to
 buckets, and the share of words that repeat the word before. One weight per bucket, shared by all grades, gives a score s; ordered thresholds t give
 P(grade <= j) = 1 / (1 + exp(s - t_j)). The expected grade and the probability of the best
 grades (the tail) follow. The model is fitted to a bounded sample of rated documents, drawn by hashed id
 and weighted back to the whole; all documents are scored, each in full, with the weights sent
-to the tasks (their number is fixed).
+to the tasks (their number is fixed). The threshold of the best grade then rises as far as a part of the
+sample, held out from a fit of its own, keeps KEPT of its best grade: so the cut against the lower
+grades doesn't hang on how rare they are.
 
 Defined results: rows of ratings with a null doc_id or without a grade teach nothing; of several
 ratings of a document the lowest counts; with fewer than two grades the model is None, and
@@ -27,8 +29,10 @@ from tickloom.llm.common import slices, texts, with_columns
 from tickloom.llm.words import span_hashes, word_hashes
 
 BUCKETS, SHAPES = 1 << 18, 1 << 10
-#: A bucket for each word and shape, and one for words that repeat the word before.
-WEIGHTS = BUCKETS + SHAPES + 1
+#: Lengths in bytes of the word beginnings that are features; words of at most that length have none.
+HEADS = (4, 7)
+#: A bucket for each word, shape and word beginning, and one for words that repeat the word before.
+WEIGHTS = BUCKETS + SHAPES + 1 + BUCKETS
 #: The value of a shape that all tokens have; a word's value is 1.
 SHAPE_SCALE = 25
 #: Share of the sampled documents, and number of them, that must have a feature for it to get a weight.
@@ -43,6 +47,10 @@ KIND[[9, 10, 11, 12, 13, 32]] = 0
 KIND[48:58], KIND[65:91], KIND[97:123], KIND[128:] = 48, 65, 97, 97
 
 
+#: Share of the best grade's documents that the cut for it keeps at least; one sampled document in HELD_OUT chooses it, if LEAST_HELD of them are of that grade.
+KEPT, HELD_OUT, LEAST_HELD = 0.99, 5, 100
+
+
 class Model(NamedTuple):
     weights: np.ndarray
     thresholds: np.ndarray
@@ -51,19 +59,20 @@ class Model(NamedTuple):
 
 def features(column: pa.StringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(offsets, buckets, values) of the features of each text."""
-    bounds, hashes = word_hashes(column)
+    bounds, hashes, heads = word_hashes(column, HEADS)
     offsets, buckets, values = [0], [], []
     for i, text in enumerate(column):
         words = np.unique(hashes[bounds[i] : bounds[i + 1]] >> np.uint64(46)).astype(np.int64)
+        begun = np.unique(np.concatenate([h[at[bounds[i]] : at[bounds[i + 1]]] for h, at in heads]) >> np.uint64(46)).astype(np.int64)
         kinds = KIND[np.frombuffer(text.as_buffer() or b"", dtype=np.uint8)]
         kinds = kinds[np.concatenate(([True], kinds[1:] != kinds[:-1]))] if len(kinds) else kinds
         edges = np.flatnonzero(np.diff(np.concatenate(([0], (kinds != 0).view(np.int8), [0]))))
         shapes, n = np.unique(span_hashes(kinds, edges[::2], edges[1::2]) >> np.uint64(54), return_counts=True)
         own = hashes[bounds[i] : bounds[i + 1]]
         again = np.float32(SHAPE_SCALE * (own[1:] == own[:-1]).mean() if len(own) > 1 else 0)
-        buckets += [words, shapes.astype(np.int64) + BUCKETS, [BUCKETS + SHAPES]]
-        values += [np.ones(len(words), dtype=np.float32), (SHAPE_SCALE * n / max(1, n.sum())).astype(np.float32), [again]]
-        offsets.append(offsets[-1] + len(words) + len(shapes) + 1)
+        buckets += [words, shapes.astype(np.int64) + BUCKETS, [BUCKETS + SHAPES], begun + (BUCKETS + SHAPES + 1)]
+        values += [np.ones(len(words), dtype=np.float32), (SHAPE_SCALE * n / max(1, n.sum())).astype(np.float32), [again], np.ones(len(begun), dtype=np.float32)]
+        offsets.append(offsets[-1] + len(words) + len(shapes) + 1 + len(begun))
     joined = lambda x, t: np.concatenate(x).astype(t) if x else np.zeros(0, dtype=t)
     return np.array(offsets), joined(buckets, np.int64), joined(values, np.float32)
 
@@ -117,10 +126,15 @@ def fit(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE) -> Model | No
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / F.lit(1_000_003.0)
     chosen = rated.where(place < shares[F.col("grade")])
     # The sample has about `sample` rows, whatever the table's size; so it is broadcast.
-    own = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id").select("grade", "text")
+    own = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
+    # A document's copies are held out together; -1 - grade stands for a grade that is.
+    held = F.pmod(F.xxhash64("text"), F.lit(HELD_OUT)) == 0
+    own = own.select(F.when(held, -1 - F.col("grade")).otherwise(F.col("grade")).alias("grade"), "text")
     rows = own.mapInArrow(_feature_rows, "grade int, buckets array<int>, values array<float>").toArrow()
     grades = sorted(counts)
-    grade = np.searchsorted(grades, rows.column("grade").to_numpy())
+    told = rows.column("grade").to_numpy()
+    held = told < 0
+    grade = np.searchsorted(grades, np.where(held, -1 - told, told))
     if len(np.unique(grade)) < len(grades):
         return None
     offsets = np.concatenate(([0], np.cumsum(rows.column("buckets").combine_chunks().value_lengths().to_numpy())))
@@ -129,7 +143,22 @@ def fit(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE) -> Model | No
     rows_of = np.repeat(np.arange(len(grade)), np.diff(offsets))[frequent]
     offsets, buckets, values = np.concatenate(([0], np.cumsum(np.bincount(rows_of, minlength=len(grade))))), buckets[frequent], values[frequent]
     weight = np.array([counts[g] for g in grades])[grade] / np.bincount(grade)[grade]
-    return Model(*fit_ordinal(offsets, buckets, values, grade, weight, len(grades)), grades)
+    weights, thresholds = fit_ordinal(offsets, buckets, values, grade, weight, len(grades))
+    thresholds[-1] += _stricter(offsets, buckets, values, grade, weight, len(grades), held)
+    return Model(weights, thresholds, grades)
+
+
+def _stricter(offsets: np.ndarray, buckets: np.ndarray, values: np.ndarray, grade: np.ndarray, weight: np.ndarray, n_grades: int, held: np.ndarray) -> float:
+    """By how much the threshold of the best grade can rise so that of the rows held out from a fit of their own KEPT of that grade stay; 0 if too few are held out."""
+    best = held & (grade == n_grades - 1)
+    if best.sum() < LEAST_HELD or len(np.unique(grade[~held])) < n_grades:
+        return 0.0
+    sizes = np.diff(offsets)
+    taken = np.repeat(~held, sizes)
+    own = np.concatenate(([0], np.cumsum(sizes[~held])))
+    weights, thresholds = fit_ordinal(own, buckets[taken], values[taken], grade[~held], weight[~held], n_grades)
+    s = _sums(weights[buckets] * values, offsets)[best]
+    return max(0.0, float(np.quantile(s, 1 - KEPT)) - thresholds[-1])
 
 
 def score(model: Model, column: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:

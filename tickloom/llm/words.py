@@ -57,15 +57,19 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values:
     return out
 
 
-def word_hashes(column: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(column: pa.StringArray, heads: tuple[int, ...] = ()) -> tuple:
     """(offsets, hashes): the words of text i are hashes[offsets[i]:offsets[i + 1]].
 
+    With heads, a third value has for each of these lengths the hashes of the first so many bytes of all longer
+    words, and where those of each word begin among them: (hashes, places), one place more than words.
+
     column: strings without nulls. Works through the bytes in pieces cut between words,
     so that a very long text needs no more memory than its hashes.
     """
     bounds = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     if len(column) == 0 or bounds[-1] == bounds[0]:
-        return np.zeros(len(column) + 1, dtype=np.int64), np.zeros(0, dtype=np.uint64)
+        none = np.zeros(len(column) + 1, dtype=np.int64), np.zeros(0, dtype=np.uint64)
+        return (*none, [(none[1], np.zeros(1, dtype=np.int64))] * len(heads)) if heads else none
     data = np.frombuffer(column.buffers()[2], dtype=np.uint8)[bounds[0] : bounds[-1]]
     bounds = bounds - bounds[0]
     inside = WORD[data]
@@ -74,7 +78,11 @@ def word_hashes(column: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
     joined[inner - 1] = False
     starts = np.flatnonzero(inside & np.concatenate(([True], ~joined)))
     ends = np.flatnonzero(inside & np.concatenate((~joined, [True]))) + 1
-    return np.searchsorted(starts, bounds), span_hashes(data, starts, ends, LOWER)
+    found = np.searchsorted(starts, bounds), span_hashes(data, starts, ends, LOWER)
+    if not heads:
+        return found
+    longer = [(n, ends - starts > n) for n in heads]
+    return *found, [(span_hashes(data, starts[more], starts[more] + n, LOWER), np.concatenate(([0], np.cumsum(more)))) for n, more in longer]
 
 
 def shingles(hashes: np.ndarray, k: int) -> np.ndarray:
