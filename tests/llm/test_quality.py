@@ -49,6 +49,14 @@ def test_odd_documents_and_ratings(spark, odd_docs, no_docs):
     assert quality_model.predict(no_docs, quality_model.fit(odd_docs, rated)).count() == 0
 
 
+def test_a_grade_without_documents_leaves_the_others(spark):
+    docs = spark.createDataFrame([(i, ("stupid trash here " if i % 2 else "fine words here ") + f"and {i}") for i in range(40)], "doc_id long, text string")
+    rated = spark.createDataFrame([(i, 0 if i % 2 else 2) for i in range(40)] + [(1000, 1)], "doc_id long, grade int")
+    model = quality_model.fit(docs, rated)
+    assert model.grades == [0, 2]
+    assert {r.doc_id % 2 for r in quality_model.predict(docs, model).where("selected").collect()} == {0}
+
+
 def test_gradient_finds_ordered_grades():
     rng = np.random.default_rng(0)
     grade = rng.integers(0, 4, 400)

@@ -119,6 +119,8 @@ def fit_ordinal(offsets: np.ndarray, buckets: np.ndarray, values: np.ndarray, gr
 def fit(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE) -> Model | None:
     """A model of ratings (doc_id, grade) of docs (doc_id, text)."""
     rated = ratings.where(F.col("doc_id").isNotNull() & F.col("grade").isNotNull()).groupBy("doc_id").agg(F.min("grade").cast("int").alias("grade"))
+    # Ratings of other documents teach nothing, so a grade that only they have isn't one.
+    rated = rated.join(docs.select("doc_id"), "doc_id", "left_semi")
     counts = {r["grade"]: r["n"] for r in rated.groupBy("grade").agg(F.count("*").alias("n")).collect()}
     if len(counts) < 2:
         return None
