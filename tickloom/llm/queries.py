@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import bpe, decontam, html, language, licenses, near_dup, quality_model, quality_rules, url_filter, warc
+from tickloom.llm import bpe, decontam, html, language, licenses, near_dup, quality_model, quality_rules, url_filter, warc, whitening
 from tickloom.llm.common import table
 
 BPE_PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -59,6 +59,12 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "template")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector")))
+    each = found.select("vec_id", "n", F.col("deviation").try_cast("long").alias("deviation"), "explained", "identity_error", F.posexplode("whitened").alias("place", "whitened"))
+    return each.select("vec_id", (F.col("place") + 1).alias("component"), "n", "deviation", "whitened", F.get("explained", "place").alias("explained"), "identity_error")
+
+
 def _canonical_sql(text: str) -> str:
     """The canonical form of licences.canonical in DuckDB's SQL."""
     out = f"regexp_replace(lower(coalesce({text}, '')), '{licenses.COPYRIGHT_LINE}', chr(10), 'g')"
@@ -71,7 +77,7 @@ def _canonical_sql(text: str) -> str:
 _KNOWN_SQL = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in licenses.KNOWN)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc, op2_near_duplicates, op3_byte_bpe, op4_license_scan, op5_language_id, op6_decontamination, op7_quality_model, op8_quality_rules, op9_html_extraction, op10_url_filter)
+    f.__name__: f for f in (op1_warc, op2_near_duplicates, op3_byte_bpe, op4_license_scan, op5_language_id, op6_decontamination, op7_quality_model, op8_quality_rules, op9_html_extraction, op10_url_filter, op11_whitening)
 }
 
 ORACLE_SQL: dict[str, str] = {
