@@ -34,7 +34,7 @@ def test_matches_sql(spark, sf_dir, name):
 
 
 def test_all_are_registered():
-    assert {f"op{n}" for n in range(1, 12)} == {name.split("_")[0] for name in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in QUERIES}
     assert {*QUERIES, "pipeline"} <= {*contract.queries()}
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import bpe, decontam, html, language, licenses, near_dup, quality_model, quality_rules, url_filter, warc, whitening
+from tickloom.llm import bpe, decontam, html, language, licenses, near_dup, quality_model, quality_rules, ranked_search, substring_dedup, url_filter, warc, whitening
 from tickloom.llm.common import table
 
 BPE_PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -65,6 +65,15 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return each.select("vec_id", (F.col("place") + 1).alias("component"), "n", "deviation", "whitened", F.get("explained", "place").alias("explained"), "identity_error")
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.deduplicate(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.coalesce(F.sha2("kept_text", 256), "words_sha256").alias("kept_sha256"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def _canonical_sql(text: str) -> str:
     """The canonical form of licences.canonical in DuckDB's SQL."""
     out = f"regexp_replace(lower(coalesce({text}, '')), '{licenses.COPYRIGHT_LINE}', chr(10), 'g')"
@@ -77,7 +86,7 @@ def _canonical_sql(text: str) -> str:
 _KNOWN_SQL = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in licenses.KNOWN)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc, op2_near_duplicates, op3_byte_bpe, op4_license_scan, op5_language_id, op6_decontamination, op7_quality_model, op8_quality_rules, op9_html_extraction, op10_url_filter, op11_whitening)
+    f.__name__: f for f in (op1_warc, op2_near_duplicates, op3_byte_bpe, op4_license_scan, op5_language_id, op6_decontamination, op7_quality_model, op8_quality_rules, op9_html_extraction, op10_url_filter, op11_whitening, op12_substring_dedup, op13_ranked_search)
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -148,4 +157,35 @@ ORACLE_SQL: dict[str, str] = {
                NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND remaining >= 0.5 * word_chars AS kept
         FROM told
     """,
+    "op12_substring_dedup": """
+        WITH docs AS (SELECT row_number() OVER (ORDER BY doc_id NULLS LAST, text) AS nr, doc_id,
+                             regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        windows AS (SELECT nr, i, array_to_string(w[i : i + 19], ' ') AS s FROM (SELECT nr, w, unnest(range(1, len(w) - 18)) AS i FROM docs)),
+        repeats AS (SELECT nr, i FROM (SELECT nr, i, row_number() OVER (PARTITION BY md5(s) ORDER BY nr, i) AS place FROM windows) WHERE place > 1),
+        covered AS (SELECT nr, list(DISTINCT p) AS gone FROM (SELECT nr, unnest(range(i, i + 20)) AS p FROM repeats) GROUP BY nr),
+        words AS (SELECT nr, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM docs),
+        removed AS (SELECT nr, unnest(gone) AS p, true AS gone FROM covered),
+        kept AS (SELECT nr, string_agg(word, ' ' ORDER BY p) AS kept_text FROM words LEFT JOIN removed USING (nr, p) WHERE gone IS NULL GROUP BY nr)
+        SELECT doc_id, len(w) AS n_words, coalesce(len(gone), 0) AS n_removed, sha256(coalesce(kept_text, '')) AS kept_sha256
+        FROM docs LEFT JOIN covered USING (nr) LEFT JOIN kept USING (nr)
+    """,
+    "op13_ranked_search": """
+        WITH letters AS (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS upper, 'abcdefghijklmnopqrstuvwxyz' AS lower),
+        docs AS (SELECT row_number() OVER () AS nr, doc_id,
+                        regexp_extract_all(translate(coalesce(text, ''), upper, lower), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w
+                 FROM documents, letters),
+        items AS (SELECT row_number() OVER () AS item, item_id,
+                         regexp_extract_all(translate(coalesce(text, ''), upper, lower), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w
+                  FROM (SELECT DISTINCT item_id, text FROM benchmark), letters),
+        told AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM docs WHERE len(w) > 0),
+        tfs AS (SELECT nr, term, count(*) AS tf FROM (SELECT nr, unnest(w) AS term FROM docs) GROUP BY nr, term),
+        weights AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS weight
+                    FROM (SELECT term, count(*) AS df FROM tfs GROUP BY term), told),
+        asked AS (SELECT item, term, count(*) AS often FROM (SELECT item, unnest(w) AS term FROM items) GROUP BY item, term),
+        scored AS (SELECT item, nr, CAST(sum(often * weight * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * len(w) * n_docs) // n_terms)))) AS BIGINT) AS score
+                   FROM asked JOIN weights USING (term) JOIN tfs USING (term) JOIN docs USING (nr), told GROUP BY item, nr),
+        ranked AS (SELECT item, nr, doc_id, score, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST, nr) AS INTEGER) AS rank
+                   FROM scored JOIN docs USING (nr) WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM ranked JOIN items USING (item) WHERE rank <= 10
+    """,
 }
