@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +41,10 @@ def to_micros(value: datetime | str) -> int:
     return (delta.days * 86_400 + delta.seconds) * 1_000_000 + delta.microseconds
 
 
+def from_micros(micros: int) -> datetime:
+    return datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(microseconds=micros)
+
+
 def as_utc(value: datetime | str) -> datetime:
     moment = datetime.fromisoformat(value) if isinstance(value, str) else value
     if moment.tzinfo is None:
@@ -70,8 +75,14 @@ def computed_once(d: DataFrame, name: str, c: Column) -> DataFrame:
     return d.select("*", F.explode_outer(F.array(c)).alias(name))
 
 
-def single_json(text: Column) -> Column:
-    """Whether a text is one JSON value with nothing behind it, which parsers that stop at its end don't tell."""
-    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
-    named = F.size(F.json_object_keys(F.concat(F.lit('{"d":'), text, F.lit("}")))) == 1
-    return F.coalesce(alone & named, F.lit(False))
+def guarded(text: Column, guard: str) -> Column:
+    """A JSON value as the first of two members of an object, the second being the guard.
+
+    What stands behind the value, or closes it early and opens something else, shifts or hides the
+    guard; so one parse tells whether the text is one whole value. A guard is not to be foreseen.
+    """
+    return F.concat(F.lit(f'{{"{guard}":{{"value":'), text, F.lit(f',"{guard}":{{}}}}}}'))
+
+
+def guard_word() -> str:
+    return uuid4().hex

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions.casts import base64_text, computed_once, instant, single_json, utc_text
+from tickloom.functions.casts import base64_text, computed_once, guard_word, guarded, instant, utc_text
 from tickloom.functions.validation import first_match, missing, non_numeric
 from tickloom.schemas import (
     DECIMAL_COLUMNS,
@@ -22,6 +22,9 @@ DECODE_ERRORS = {"json": DECODE_ERROR, "avro": AVRO_DECODE_ERROR}
 VALIDATION_ERROR = "validation_error"
 ENCODE_ERROR = "encode_error"
 DLQ_PARSE_ERROR = "dlq_parse_error"
+LATE_TICK = "late_tick"
+LANDING_ERROR = "landing_parse_error"
+SNAPSHOT_ERROR = "snapshot_parse_error"
 
 # What a required field becomes when the feed leaves it out.
 WIRE_DEFAULTS = {"symbol": "", "lastPrice": "0", "volume": "0"}
@@ -129,17 +132,22 @@ def dlq_to_error_log(messages: DataFrame, occurred_at) -> DataFrame:
     dead-letter message's own. A value that is not a JSON object is kept as
     ``dlq_parse_error`` instead of being lost.
     """
-    content = F.col("value").cast("string")
+    content, guard = F.col("value").cast("string"), guard_word()
     opens_object = F.ltrim(content, F.lit(" \t\r\n")).startswith("{")
-    parsed = computed_once(messages, "body", F.when(single_json(content), F.try_parse_json(content))).withColumn(
-        "readable", F.coalesce(F.col("body").isNotNull() & opens_object, F.lit(False))
-    )
+    parsed = computed_once(messages, "body", F.try_parse_json(guarded(content, guard)))
+
+    def part(path: str, kind: str) -> Column:
+        return F.try_variant_get("body", f"$.{guard}.{path}", kind)
 
     def text(name: str) -> Column:
-        return F.try_variant_get("body", f"$.{name}", "string")
+        return part(f"value.{name}", "string")
+
+    members = F.try_variant_get("body", f"$.{guard}", "map<string, variant>")
+    whole = part("value", "variant").isNotNull() & part(guard, "variant").isNotNull() & (F.size(members) == 2)
+    parsed = parsed.withColumn("readable", F.coalesce(whole & opens_object, F.lit(False)))
 
     readable = F.col("readable")
-    payload = F.to_json(F.try_variant_get("body", "$.payload", "variant"))
+    payload = F.to_json(part("value.payload", "variant"))
     return error_rows(
         parsed,
         source=F.lit("dlq_consumer"),
@@ -155,6 +163,22 @@ def dlq_to_error_log(messages: DataFrame, occurred_at) -> DataFrame:
     )
 
 
+def late_rows(timed: DataFrame, occurred_at) -> DataFrame:
+    """Ticks whose window had closed (``id`` holds their topic position) as error-log rows."""
+    ticks = [c for c in timed.columns if c not in ("id", "event_time", "window_start", "window_end")]
+    return error_rows(
+        timed,
+        source=F.lit("window"),
+        error_type=F.lit(LATE_TICK),
+        error_message=F.concat(F.lit("Window was closed already: "), utc_text(F.col("window_start"))),
+        raw_payload=F.to_json(F.struct(*ticks), {"ignoreNullFields": "false"}),
+        kafka_topic=F.col("id.topic"),
+        kafka_partition=F.col("id.partition"),
+        kafka_offset=F.col("id.offset"),
+        occurred_at=instant(occurred_at),
+    )
+
+
 def _encodable() -> Column:
     condition = F.lit(True)
     for c in REQUIRED_WIRE_FIELDS:

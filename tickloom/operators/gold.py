@@ -6,10 +6,21 @@ from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
+from pyspark.sql.types import DecimalType, StructType
 
 from tickloom.functions.casts import floor_hour, instant
-from tickloom.schemas import HOURLY_SCHEMA, LATEST_SCHEMA, LEADERS_SCHEMA, MOVERS_SCHEMA, PERCENT, PRICE, VOLUME, WINDOW_SCHEMA
+from tickloom.schemas import (
+    HOUR_STATE_SCHEMA,
+    HOURLY_SCHEMA,
+    LATEST_SCHEMA,
+    LEADERS_SCHEMA,
+    MOVERS_SCHEMA,
+    PERCENT,
+    PRICE,
+    VOLUME,
+    WINDOW_SCHEMA,
+    WINDOW_STATE_SCHEMA,
+)
 
 BOARD_SIZE = 20
 
@@ -102,6 +113,105 @@ def hourly_summary(silver: DataFrame, as_of, hours: int = 2) -> DataFrame:
     return summarize_hours(silver.filter((loaded >= instant(start)) & (loaded < instant(end))), as_of)
 
 
+def _shaped(d: DataFrame, schema: StructType, *more: str) -> DataFrame:
+    return d.select(*more, *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+
+
+def _mean(total: str, n: str, kind: DecimalType) -> Column:
+    return (F.col(total) / F.nullif(n, F.lit(0))).cast(kind)
+
+
+def hour_states(silver: DataFrame, *apart: str) -> DataFrame:
+    """What any part of Silver adds to each symbol and load hour; rows that differ in ``apart`` give states of their own."""
+    grouped = silver.groupBy(*apart, "symbol", F.date_trunc("hour", "transformed_at").alias("hour"))
+    states = grouped.agg(
+        F.min("open_price").alias("open_price"),
+        F.max("high_price").alias("high_price"),
+        F.min("low_price").alias("low_price"),
+        F.max("last_price").alias("close_price"),
+        F.sum("volume").alias("volume_sum"),
+        F.sum("quote_volume").alias("quote_volume_sum"),
+        F.sum("price_change_pct").alias("pct_sum"),
+        F.count("price_change_pct").alias("pct_count"),
+        F.count(F.lit(1)).alias("record_count"),
+    )
+    return _shaped(states, HOUR_STATE_SCHEMA, *apart)
+
+
+# Per column of a state how parts of it merge; every other column adds up.
+HOUR_MERGE = {"open_price": F.min, "high_price": F.max, "low_price": F.min, "close_price": F.max}
+WINDOW_MERGE = {"max_price": F.max, "min_price": F.min}
+
+
+def _merged(states: DataFrame, schema: StructType, keys: list[str], rules: dict) -> DataFrame:
+    values = [rules.get(c, F.sum)(c).alias(c) for c in schema.names if c not in keys]
+    return _shaped(states.groupBy(*keys).agg(*values), schema)
+
+
+def merge_hours(states: DataFrame) -> DataFrame:
+    """Parts of hours as one state per symbol and hour."""
+    return _merged(states, HOUR_STATE_SCHEMA, ["symbol", "hour"], HOUR_MERGE)
+
+
+def finish_hours(states: DataFrame, created_at) -> DataFrame:
+    """Merged states as hourly rows, equal to those ``summarize_hours`` makes of all rows at once."""
+    return states.select(
+        "symbol",
+        "hour",
+        "open_price",
+        "high_price",
+        "low_price",
+        "close_price",
+        F.col("volume_sum").cast(VOLUME).alias("total_volume"),
+        F.col("quote_volume_sum").cast(VOLUME).alias("total_quote_volume"),
+        _mean("pct_sum", "pct_count", PERCENT).alias("avg_price_change_pct"),
+        F.col("record_count").cast("int").alias("record_count"),
+        instant(created_at).alias("created_at"),
+    )
+
+
+def window_states(timed: DataFrame, *apart: str) -> DataFrame:
+    """What any ticks add to the windows they lie in (``window_start``, ``window_end``); ``apart`` as for hours."""
+    states = timed.groupBy(*apart, "symbol", "window_start", "window_end").agg(
+        F.sum("last_price").alias("price_sum"),
+        F.count("last_price").alias("price_count"),
+        F.max("high_price").alias("max_price"),
+        F.min("low_price").alias("min_price"),
+        F.sum("volume").alias("volume_sum"),
+        F.sum("price_change_pct").alias("pct_sum"),
+        F.count("price_change_pct").alias("pct_count"),
+        F.count(F.lit(1)).alias("record_count"),
+    )
+    return _shaped(states, WINDOW_STATE_SCHEMA, *apart)
+
+
+def merge_windows(states: DataFrame) -> DataFrame:
+    return _merged(states, WINDOW_STATE_SCHEMA, ["symbol", "window_start", "window_end"], WINDOW_MERGE)
+
+
+def finish_windows(states: DataFrame, computed_at) -> DataFrame:
+    """Merged states as window rows, equal to those ``window_summary`` makes of all ticks at once."""
+    return states.select(
+        "symbol",
+        "window_start",
+        "window_end",
+        _mean("price_sum", "price_count", PRICE).alias("avg_price"),
+        "max_price",
+        "min_price",
+        F.col("volume_sum").cast(VOLUME).alias("total_volume"),
+        _mean("pct_sum", "pct_count", PERCENT).alias("avg_price_change_pct"),
+        "record_count",
+        instant(computed_at).alias("computed_at"),
+    )
+
+
+def in_windows(silver: DataFrame, time_col: str = "close_time", window: str = "5 minutes") -> DataFrame:
+    """Ticks with ``event_time`` and the tumbling window it lies in; a tick without that time counts when it was loaded."""
+    timed = silver.withColumn("event_time", F.coalesce(time_col, "transformed_at"))
+    placed = timed.withColumn("_window", F.window("event_time", window))
+    return placed.withColumns({"window_start": F.col("_window.start"), "window_end": F.col("_window.end")}).drop("_window")
+
+
 def window_summary(
     silver: DataFrame,
     time_col: str = "close_time",

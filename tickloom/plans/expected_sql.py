@@ -114,6 +114,18 @@ _WIRE_FIELDS = ", ".join(f'CASE WHEN decode_ok THEN {t} END AS "{w}"' for w, t,
 _FULL_JSON = "CAST(to_json(struct_pack({})) AS VARCHAR)".format(
     ", ".join(f'"{w}" := {t}' for w, t, _ in TICKER_FIELDS)
 )
+
+
+def _present_json(weighted_last: bool = False) -> str:
+    """A tick as JSON without its null fields, which only the symbol can be."""
+    price = lambda w, t: "weighted_avg_price" if weighted_last and w == "lastPrice" else t
+    rest = ", ".join(f'"{w}" := {price(w, t)}' for w, t, _ in TICKER_FIELDS[1:])
+    named = f'"symbol" := symbol, {rest}'
+    pack = "CAST(to_json(struct_pack({})) AS VARCHAR)"
+    return f"CASE WHEN symbol IS NULL THEN {pack.format(rest)} ELSE {pack.format(named)} END"
+
+
+_PRESENT_JSON, _PRESENT_FLAT_JSON = _present_json(), _present_json(True)
 _MOVERS = MOVERS_SCHEMA.names
 _LEADERS = LEADERS_SCHEMA.names
 
@@ -126,6 +138,10 @@ _VIEWS = {
     FROM (SELECT *, (id - 1) % 113 <> 11 AS decode_ok,
                  CASE WHEN (id - 1) % 113 = 11 THEN substring({_FULL_JSON}, 1, 20) ELSE {_FULL_JSON} END AS value
           FROM bronze)""",
+    "snapshot_documents": f"""
+    SELECT concat('{{"fetched_at":"', strftime(ingested_at, '%Y-%m-%dT%H:%M:%SZ'), '","count":2,"tickers":[',
+                  {_PRESENT_JSON}, ',', {_PRESENT_FLAT_JSON}, ']}}') AS value
+    FROM bronze""",
     "checked": f"""
     SELECT *, CASE WHEN NOT decode_ok THEN 'decode_error' WHEN error_message IS NOT NULL THEN 'validation_error' END
               AS error_type
@@ -155,6 +171,9 @@ _VIEWS = {
     SELECT 'dlq_consumer', 'dlq_parse_error', 'Dead-letter value is not a JSON object', base64(encode(text)),
            NULL, CAST(turn AS INTEGER), conv_id, {_NOW}
     FROM conversations""",
+    "letters": """
+    SELECT DISTINCT 'ticker-dlq' AS topic, kafka_partition AS "partition", kafka_offset AS "offset",
+           kafka_offset // 100 % 2 = 0 OR kafka_offset % 3 = 0 AS stored FROM dlq_rows""",
     "silver": _silver("bronze"),
     "earlier_silver": _silver("earlier_bronze"),
     "silver_rejects": f"""
@@ -221,6 +240,20 @@ _SELECTS = {
     "snapshot_explode": f"""
     SELECT strftime(ingested_at, '%Y-%m-%dT%H:%M:%SZ') AS fetched_at, {_PLAIN} FROM bronze
     UNION ALL SELECT strftime(ingested_at, '%Y-%m-%dT%H:%M:%SZ') AS fetched_at, {_FLAT} FROM bronze""",
+    "snapshot_rejects": f"""
+    SELECT 'producer' AS source, 'snapshot_parse_error' AS error_type,
+           concat('File is not a snapshot document: snapshots/', n, ' from byte 0') AS error_message,
+           base64(encode(CASE n WHEN 3 THEN substring(value, 1, 60) ELSE concat(value, ']') END)) AS raw_payload,
+           CAST(NULL AS VARCHAR) AS kafka_topic, CAST(NULL AS INTEGER) AS kafka_partition,
+           CAST(NULL AS BIGINT) AS kafka_offset, {_NOW} AS occurred_at
+    FROM (SELECT value, length(value) % 29 AS n FROM snapshot_documents) WHERE n IN (3, 5)""",
+    "landing_rejects": f"""
+    SELECT 'producer' AS source, 'landing_parse_error' AS error_type,
+           concat('Line is not a ticker object: landing/', "partition", ' from byte ', "offset") AS error_message,
+           base64(encode(value)) AS raw_payload, CAST(NULL AS VARCHAR) AS kafka_topic,
+           CAST(NULL AS INTEGER) AS kafka_partition, CAST(NULL AS BIGINT) AS kafka_offset, {_NOW} AS occurred_at
+    FROM wire WHERE NOT decode_ok""",
+    "landing_tickers": f"SELECT {_FIELDS} FROM wire WHERE decode_ok",
     "snapshot_header": f"""SELECT strftime({_NOW}, '%Y-%m-%dT%H:%M:%SZ') AS fetched_at, count(*) AS "count" FROM wire""",
     "normalize_ticker": "SELECT {} FROM wire".format(
         ", ".join(
@@ -255,6 +288,11 @@ _SELECTS = {
     "dlq_to_error_log": "SELECT * FROM dlq_rows",
     "dlq_insert_absent": """
     SELECT error_type, source, kafka_topic, kafka_partition, kafka_offset FROM dlq_rows WHERE kafka_offset % 3 <> 0""",
+    "dlq_intervals": """
+    SELECT topic, "partition", min("offset") AS "first", max("offset") AS "last"
+    FROM (SELECT *, "offset" - row_number() OVER (PARTITION BY topic, "partition" ORDER BY "offset") AS island FROM letters WHERE stored)
+    GROUP BY topic, "partition", island""",
+    "dlq_replayed": """SELECT topic, "partition", "offset" FROM letters WHERE NOT stored""",
     "silver_typed": "SELECT * FROM silver",
     "silver_rejects": "SELECT * FROM silver_rejects",
     "silver_incremental": f"""
@@ -296,7 +334,9 @@ _SELECTS = {
            CASE WHEN n.symbol IS NOT NULL THEN n.record_count ELSE o.record_count END AS record_count,
            CASE WHEN o.symbol IS NOT NULL THEN o.created_at ELSE n.created_at END AS created_at
     FROM earlier_hourly o FULL OUTER JOIN hourly n ON o.symbol = n.symbol AND o.hour = n.hour""",
+    "hourly_merged": "SELECT * FROM hourly",
     "window_5m": "SELECT * FROM windows",
+    "window_5m_merged": "SELECT * FROM windows",
     "recent_bronze": f"SELECT count(*) AS new_rows FROM bronze WHERE ingested_at >= {_RECENT}",
     "silver_quality": f"""
     SELECT count(*) AS total, count(*) FILTER (WHERE last_price IS NULL) AS null_prices,

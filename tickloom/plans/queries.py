@@ -15,7 +15,7 @@ from pyspark.sql.types import TimestampType
 
 from tickloom.functions.casts import instant
 from tickloom.operators import bronze as ingest
-from tickloom.operators import gold, merge, panels, quality
+from tickloom.operators import gold, merge, panels, positions, quality
 from tickloom.operators import silver as typed
 from tickloom.schemas import TICKER_FIELDS, WIRE_COLUMNS
 from tickloom.sources import adapters, decode
@@ -80,6 +80,12 @@ class Feed:
     def dlq_rows(self) -> DataFrame:
         return ingest.dlq_to_error_log(self.dlq_messages, AS_OF)
 
+    @cached_property
+    def stored_letters(self) -> DataFrame:
+        """Intervals of the dead letters' positions that are stored already: runs of a hundred, and every third in between."""
+        part = (F.floor(F.col("offset") / 100) % 2 == 0) | (F.col("offset") % 3 == 0)
+        return positions.intervals(self.dlq_messages.filter(part))
+
     @cached_property
     def silver(self) -> DataFrame:
         return typed.to_silver(self.bronze, F.col("ingested_at"))
@@ -134,6 +140,22 @@ class Feed:
         return self.bronze.select(F.to_json(doc).alias("value"))
 
 
+    @cached_property
+    def landing(self) -> DataFrame:
+        """The topic's values as landed lines, in a file per partition."""
+        path = F.concat(F.lit("landing/"), F.col("partition").cast("string"))
+        lines = self.raw.select(F.col("value").cast("string").alias("value"), path.alias("path"), F.col("offset").alias("position"))
+        return decode.decode_landing(lines)
+
+    @cached_property
+    def snapshot_files(self) -> DataFrame:
+        """The snapshots as files, some cut off, some with bytes behind the document."""
+        numbered = self.snapshots.withColumn("n", F.length("value") % 29)
+        value = F.when(F.col("n") == 3, F.substring("value", 1, 60)).when(F.col("n") == 5, F.concat("value", F.lit("]"))).otherwise(F.col("value"))
+        files = numbered.select(value.alias("value"), F.concat(F.lit("snapshots/"), F.col("n").cast("string")).alias("path"), F.lit(0).cast("long").alias("position"))
+        return decode.decode_snapshots(files)
+
+
 def _text_messages(d: DataFrame) -> DataFrame:
     return d.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
 
@@ -169,10 +191,27 @@ def _hourly_upsert(feed: Feed) -> DataFrame:
     return merge.upsert(stored, feed.hourly, merge.HOURLY_KEYS, merge.HOURLY_RULES)
 
 
+def _hours_in_parts(feed: Feed) -> DataFrame:
+    """Hours from the states of seven loads."""
+    states = gold.hour_states(feed.silver.withColumn("load", F.col("id") % 7), "load")
+    return gold.finish_hours(gold.merge_hours(states), AS_OF)
+
+
+def _windows_in_parts(feed: Feed) -> DataFrame:
+    states = gold.window_states(gold.in_windows(feed.silver).withColumn("batch", F.col("id") % 5), "batch")
+    return gold.finish_windows(gold.merge_windows(states), AS_OF)
+
+
 def _snapshot_feed(feed: Feed) -> DataFrame:
     return decode.explode_snapshot(decode.parse_snapshot(feed.snapshots))
 
 
+def _replayed(feed: Feed) -> DataFrame:
+    """The dead letters once more, less those at stored positions."""
+    letters = positions.once_each(feed.dlq_messages.select(*positions.POSITION))
+    return positions.unseen(letters, feed.stored_letters)
+
+
 def _stored_letters(feed: Feed) -> DataFrame:
     """Dead-letter rows not stored yet, when the rejects and a third of the letters already are.
 
@@ -189,6 +228,9 @@ _QUERIES: dict[str, Callable[[Feed], DataFrame]] = {
     "decode_json": _decoded,
     "decode_rejects": lambda f: f.consumer_rejects.filter(F.col("error_type") == ingest.DECODE_ERROR),
     "snapshot_explode": _snapshot_feed,
+    "snapshot_rejects": lambda f: decode.snapshot_rejects(f.snapshot_files, AS_OF),
+    "landing_rejects": lambda f: decode.landing_rejects(f.landing, AS_OF),
+    "landing_tickers": lambda f: decode.landed(f.landing),
     "snapshot_header": lambda f: ingest.snapshot_header(f.raw, AS_OF),
     "normalize_ticker": lambda f: ingest.normalize_ticker(f.wire),
     "publish_payload": lambda f: _text_messages(ingest.publish_payload(f.wire)),
@@ -200,6 +242,8 @@ _QUERIES: dict[str, Callable[[Feed], DataFrame]] = {
     "dlq_payload": lambda f: _text_messages(ingest.to_dlq_payload(f.consumer_rejects)),
     "dlq_to_error_log": lambda f: f.dlq_rows,
     "dlq_insert_absent": _stored_letters,
+    "dlq_intervals": lambda f: f.stored_letters,
+    "dlq_replayed": _replayed,
     # Silver
     "silver_typed": lambda f: f.silver,
     "silver_rejects": lambda f: f.silver_rejects,
@@ -216,7 +260,9 @@ _QUERIES: dict[str, Callable[[Feed], DataFrame]] = {
     "hourly_summary": lambda f: gold.hourly_summary(f.silver, AS_OF),
     "hourly_history": lambda f: f.hourly,
     "hourly_upsert": _hourly_upsert,
+    "hourly_merged": _hours_in_parts,
     "window_5m": lambda f: f.windows,
+    "window_5m_merged": _windows_in_parts,
     # quality
     "recent_bronze": lambda f: quality.recent_bronze(f.bronze, AS_OF),
     "silver_quality": lambda f: quality.silver_quality(f.silver, AS_OF),

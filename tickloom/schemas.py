@@ -152,6 +152,38 @@ HOURLY_SCHEMA = _struct(
     ("created_at", TimestampType()),
 )
 
+# What an hour or window of a symbol adds up to, so that parts of it can be merged. The sums
+# have the type that Spark gives the sum of a whole group, so a mean of merged parts is the same.
+_PRICE_SUM, _PERCENT_SUM, _VOLUME_SUM = DecimalType(30, 8), DecimalType(20, 4), DecimalType(38, 8)
+
+HOUR_STATE_SCHEMA = _struct(
+    ("symbol", StringType()),
+    ("hour", TimestampType()),
+    ("open_price", PRICE),
+    ("high_price", PRICE),
+    ("low_price", PRICE),
+    ("close_price", PRICE),
+    ("volume_sum", _VOLUME_SUM),
+    ("quote_volume_sum", _VOLUME_SUM),
+    ("pct_sum", _PERCENT_SUM),
+    ("pct_count", LongType()),
+    ("record_count", LongType()),
+)
+
+WINDOW_STATE_SCHEMA = _struct(
+    ("symbol", StringType()),
+    ("window_start", TimestampType()),
+    ("window_end", TimestampType()),
+    ("price_sum", _PRICE_SUM),
+    ("price_count", LongType()),
+    ("max_price", PRICE),
+    ("min_price", PRICE),
+    ("volume_sum", _VOLUME_SUM),
+    ("pct_sum", _PERCENT_SUM),
+    ("pct_count", LongType()),
+    ("record_count", LongType()),
+)
+
 WINDOW_SCHEMA = _struct(
     ("symbol", StringType()),
     ("window_start", TimestampType()),
@@ -180,6 +212,21 @@ ALERTS_SCHEMA = _struct(
     ("cnt", LongType()),
 )
 
+TALLIES_SCHEMA = _struct(
+    ("total", LongType()),
+    ("rejected", LongType()),
+    ("sent", LongType()),
+    ("repeated", LongType()),
+    ("stored_at", TimestampType()),
+)
+
+REPORTS_SCHEMA = _struct(
+    ("checked_at", TimestampType()),
+    ("report", StringType()),
+    ("metric", StringType()),
+    ("value", LongType()),
+)
+
 
 def avro_contract(name: str = "Ticker", namespace: str = "tickloom") -> str:
     """The ticker message as an Avro schema: required text, or nullable with a null default."""

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import MapType, StringType, StructField, StructType
 
-from tickloom.functions.casts import computed_once, single_json
+from tickloom.functions.casts import base64_text, computed_once, guard_word, guarded, instant
+from tickloom.operators.bronze import LANDING_ERROR, SNAPSHOT_ERROR, error_rows
 from tickloom.schemas import SNAPSHOT_SCHEMA, TICKER_SCHEMA, WIRE_COLUMNS, avro_contract
 
 # Fixed values of the registry framing: one zero byte, then a 4-byte schema id.
@@ -27,15 +28,26 @@ def _record(parsed: DataFrame, ok: Column) -> DataFrame:
     ).select(*RECORD_COLUMNS, "data.*", "decode_ok")
 
 
+def parse_strictly(d: DataFrame, text: Column, schema: StructType) -> DataFrame:
+    """Adds ``data`` (a struct) and ``decode_ok``: whether the text is one JSON object of these types and nothing else.
+
+    One parse per row. ``data`` is NULL where the text is refused.
+    """
+    guard = guard_word()
+    checked = StructType([StructField(guard, MapType(StringType(), schema)), StructField(CORRUPT, StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = computed_once(d, "_parsed", F.from_json(guarded(text, guard), checked, options))
+    members, value = F.col(f"_parsed.`{guard}`"), F.col(f"_parsed.`{guard}`").getItem("value")
+    whole = (F.size(members) == 2) & F.map_contains_key(members, guard) & F.col(f"_parsed.{CORRUPT}").isNull()
+    ok = F.coalesce(whole & value.isNotNull(), F.lit(False))
+    return parsed.withColumns({"decode_ok": ok, "data": F.when(ok, value)}).drop("_parsed")
+
+
 def decode_json(raw: DataFrame, schema: StructType = TICKER_SCHEMA) -> DataFrame:
     """JSON values to wire columns; ``decode_ok`` is false for null, malformed or mistyped values, and for
     values with anything behind them."""
-    checked = StructType([*schema.fields, StructField(CORRUPT, StringType())])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    text = F.col("value").cast("string")
-    parsed = F.when(single_json(text), F.from_json(text, checked, options))
-    ok = F.col("data").isNotNull() & F.col(f"data.{CORRUPT}").isNull()
-    return _record(computed_once(raw, "data", parsed), ok).drop(CORRUPT)
+    parsed = parse_strictly(raw, F.col("value").cast("string"), schema)
+    return _record(parsed, F.col("decode_ok"))
 
 
 def unframe(raw: DataFrame) -> DataFrame:
@@ -65,8 +77,52 @@ def decode(raw: DataFrame, fmt: str = "json") -> DataFrame:
     return DECODERS[fmt](raw)
 
 
+def decode_landing(lines: DataFrame) -> DataFrame:
+    """Landed lines (``value``, and where they lie: ``path``, ``position``) with their ticker and ``decode_ok``.
+
+    Empty lines are no lines.
+    """
+    filled = lines.filter(F.trim("value") != "")
+    parsed = parse_strictly(filled, F.col("value"), TICKER_SCHEMA)
+    return parsed.select("path", "position", "value", "decode_ok", "data.*")
+
+
+def landed(decoded: DataFrame) -> DataFrame:
+    """The tickers of decoded lines."""
+    return decoded.filter("decode_ok").select(*WIRE_COLUMNS)
+
+
+def landing_rejects(decoded: DataFrame, occurred_at) -> DataFrame:
+    """Lines that are no ticker as error-log rows."""
+    return _file_rejects(decoded, LANDING_ERROR, "Line is not a ticker object", occurred_at)
+
+
+def _file_rejects(decoded: DataFrame, error_type: str, message: str, occurred_at) -> DataFrame:
+    where = F.concat(F.lit(f"{message}: "), F.col("path"), F.lit(" from byte "), F.col("position").cast("string"))
+    return error_rows(
+        decoded.filter(~F.col("decode_ok")),
+        source=F.lit("producer"),
+        error_type=F.lit(error_type),
+        error_message=where,
+        raw_payload=base64_text(F.col("value").cast("binary")),
+        occurred_at=instant(occurred_at),
+    )
+
+
+def decode_snapshots(documents: DataFrame) -> DataFrame:
+    """Snapshot documents (``value``, ``path``, ``position``) with ``decode_ok``: one whole document that holds a list of tickers."""
+    parsed = parse_strictly(documents, F.col("value").cast("string"), SNAPSHOT_SCHEMA)
+    whole = F.col("decode_ok") & F.col("data.tickers").isNotNull()
+    return parsed.withColumn("decode_ok", whole).select("path", "position", "value", "decode_ok", "data.*")
+
+
+def snapshot_rejects(decoded: DataFrame, occurred_at) -> DataFrame:
+    """Documents that are no snapshot as error-log rows."""
+    return _file_rejects(decoded, SNAPSHOT_ERROR, "File is not a snapshot document", occurred_at)
+
+
 def parse_snapshot(documents: DataFrame, text: str = "value") -> DataFrame:
-    """Snapshot documents held as JSON text to ``fetched_at, count, tickers``."""
+    """Snapshot documents held as JSON text to ``fetched_at, count, tickers``; see ``decode_snapshots`` for refused ones."""
     parsed = F.from_json(F.col(text).cast("string"), SNAPSHOT_SCHEMA)
     return computed_once(documents, "doc", parsed).select("doc.*")
 

@@ -7,10 +7,11 @@ Avro ones the Avro package, and the database ones the driver of the database.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tickloom.operators.bronze import snapshot_header
-from tickloom.schemas import RAW_SCHEMA, SNAPSHOT_SCHEMA, TICKER_SCHEMA
-from tickloom.sources.decode import explode_snapshot
+from tickloom.schemas import RAW_SCHEMA
+from tickloom.sources.decode import decode_landing, decode_snapshots, explode_snapshot, landed
 
 # Client time-outs of the live ticker subscription.
 SESSION_TIMEOUT_MS = 30_000
@@ -49,15 +50,30 @@ def read_topic_dump(spark: SparkSession, path: str, max_files: int | None = None
     return reader.parquet(path)
 
 
-def read_landing(spark: SparkSession, path: str, streaming: bool = True) -> DataFrame:
-    """Tickers from a folder of JSON lines, as a stream or as a table."""
+def read_landing_lines(spark: SparkSession, path: str, streaming: bool = True) -> DataFrame:
+    """Lines of a landing folder with the file they lie in and the byte their part of it starts at."""
     reader = spark.readStream if streaming else spark.read
-    return reader.schema(TICKER_SCHEMA).json(path)
+    return _placed(reader.text(path))
+
+
+def _placed(read: DataFrame) -> DataFrame:
+    file = F.col("_metadata")
+    return read.select("value", file.getField("file_path").alias("path"), file.getField("file_block_start").alias("position"))
+
+
+def read_landing(spark: SparkSession, path: str, streaming: bool = True) -> DataFrame:
+    """Tickers from a folder of JSON lines, as a stream or as a table; ``landing_rejects`` has the lines that are none."""
+    return landed(decode_landing(read_landing_lines(spark, path, streaming)))
+
+
+def read_snapshot_files(spark: SparkSession, path: str) -> DataFrame:
+    """Whole snapshot files as text; one is as large as a snapshot of all symbols, a few megabytes."""
+    return _placed(spark.read.text(path, wholetext=True))
 
 
 def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
-    """Tickers from a folder of whole-document snapshot files."""
-    return explode_snapshot(spark.read.schema(SNAPSHOT_SCHEMA).json(path, multiLine=True))
+    """Tickers from a folder of whole-document snapshot files; ``snapshot_rejects`` has the files that are none."""
+    return explode_snapshot(decode_snapshots(read_snapshot_files(spark, path)).filter("decode_ok"))
 
 
 def write_snapshot(tickers: DataFrame, path: str, as_of) -> None:

@@ -1,25 +1,31 @@
 """Structured Streaming queries over topic records.
 
 Each query stores its batches through ``foreachBatch``. A batch repeated after a
-failure gets the same clock and ids, and replaces exactly what its first try wrote.
+failure gets the same clock and ids, and replaces exactly what its first try wrote. A
+position that the target's ledger holds, from this stream or any other, is not stored again.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from datetime import datetime, timezone
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from datetime import datetime, timedelta, timezone
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tickloom.functions.casts import from_micros, instant
 from tickloom.operators import bronze as ingest
 from tickloom.operators import gold, silver
 from tickloom.operators.identity import assign_ids
 from tickloom.plans.cycle import write_bronze, write_errors, write_silver
-from tickloom.sources.decode import decode
-from tickloom.sources.tables import Marker, Store, day_of, exists
+from tickloom.schemas import WINDOW_STATE_SCHEMA
+from tickloom.sources.decode import decode, decode_landing, landed, landing_rejects
+from tickloom.sources.files import exists
+from tickloom.sources.ledger import Ledger
+from tickloom.sources.tables import SLOTS, Marker, Store, day_of
 
 # Fixed value: how often a stream takes its next micro-batch.
 TRIGGER = {"processingTime": "30 seconds"}
@@ -60,6 +66,32 @@ def _start(d: DataFrame, name: str, sink: Sink, trigger: dict | None, checkpoint
     )
 
 
+@contextmanager
+def _new_rows(store: Store, source: str, batch: DataFrame) -> Iterator[tuple[DataFrame | None, int]]:
+    """The rows of a batch that the source's ledger doesn't hold (None if there are none), and how many others there were.
+
+    That part of the store is held meanwhile, and the ledger notes the batch if all went well.
+    """
+    held = batch.persist()
+    try:
+        if held.isEmpty():
+            yield None, 0
+            return
+        with store.exclusive(source):
+            ledger = Ledger(store, source)
+            fresh = ledger.fresh(held)
+            yield (None if fresh.repeated and fresh.rows.isEmpty() else fresh.rows), fresh.repeated
+            ledger.note(fresh)
+    finally:
+        held.unpersist()
+
+
+def _store_tallies(store: Store, checked: DataFrame, repeated: int, moment: datetime, block: int) -> None:
+    """What became of a batch's new records; a repeat of the batch replaces its row."""
+    tallies = ingest.ingest_tallies(checked).withColumns({"repeated": F.lit(repeated).cast("long"), "stored_at": instant(moment)})
+    store.replace_partitions(tallies, "gold.ingest_tallies", day=day_of(F.col("stored_at")), block=F.lit(block).cast("long"))
+
+
 def checked_records(raw: DataFrame, fmt: str = "json") -> DataFrame:
     return ingest.with_reject_reason(decode(raw, fmt), fmt)
 
@@ -75,8 +107,8 @@ def start_ingest(
 ) -> StreamingQuery:
     """Topic records to Bronze rows and error-log rows, and optionally to dead-letter messages.
 
-    Counts of seen, rejected and stored records come with the query's progress
-    under ``ingest_tallies``.
+    Counts of seen, rejected and stored records come with the query's progress under
+    ``ingest_tallies``; those of new records are stored for each batch in ``gold.ingest_tallies``.
     """
     writer, bad = writer_of(store.spark, "ingest", checkpoint), F.col("error_type").isNotNull()
     counted = checked_records(raw, fmt).observe(
@@ -87,20 +119,18 @@ def start_ingest(
     )
 
     def store_batch(batch: DataFrame, batch_id: int) -> None:
-        checked = batch.persist()
-        try:
-            if checked.isEmpty():
+        with _new_rows(store, "ingest", batch) as (checked, repeated):
+            if checked is None:
                 return
             block = store.number_for("ingest", writer, batch_id)
             moment = store.batch_clock("ingest", block, clock())
             errors = ingest.to_error_log(ingest.rejected(checked), "consumer", moment)
-            write_errors(store, errors, block)
+            write_errors(store, errors, block, "ingest")
             if dead_letters is not None:
                 dead_letters(ingest.to_dlq_payload(errors), batch_id)
             numbered = assign_ids(ingest.valid(checked), block)
             write_bronze(store, ingest.to_bronze(numbered, moment, F.col("id")), block)
-        finally:
-            checked.unpersist()
+            _store_tallies(store, checked, repeated, moment, block)
 
     return _start(counted, "ingest", store_batch, trigger, checkpoint)
 
@@ -117,20 +147,18 @@ def start_silver(
     writer = writer_of(store.spark, "silver", checkpoint)
 
     def store_batch(batch: DataFrame, batch_id: int) -> None:
-        checked = batch.persist()
-        try:
-            if checked.isEmpty():
+        with _new_rows(store, "silver", batch) as (checked, _):
+            if checked is None:
                 return
             load = store.number_for("silver", writer, batch_id)
             moment = store.batch_clock("silver", load, clock())
             numbered = assign_ids(ingest.valid(checked), load)
             ticks = ingest.to_bronze(numbered, F.lit(None).cast("timestamp"), F.col("id"))
-            write_silver(store, silver.to_silver(ticks, moment), load)
+            step = Marker(seq=load, high=store.block_end(load), as_of=moment)
+            write_silver(store, silver.to_silver(ticks, moment), step)
             refused = ingest.to_error_log(ingest.rejected(checked), "transformer", moment)
-            write_errors(store, refused.unionByName(silver.silver_rejects(ticks, moment)), load)
-            store.mark("loaded", Marker(seq=load, high=store.block_end(load), as_of=moment))
-        finally:
-            checked.unpersist()
+            write_errors(store, refused.unionByName(silver.silver_rejects(ticks, moment)), load, "silver")
+            store.mark("loaded", step)
 
     return _start(checked_records(raw, fmt), "silver", store_batch, trigger, checkpoint)
 
@@ -173,6 +201,77 @@ def start_windows(
     return _start(windows, "windows", sink, trigger, checkpoint)
 
 
+def start_tracked_windows(
+    raw: DataFrame,
+    store: Store,
+    fmt: str = "json",
+    time_col: str = "close_time",
+    window: str = "5 minutes",
+    watermark: timedelta = timedelta(minutes=10),
+    trigger: dict | None = None,
+    checkpoint: str | None = None,
+    clock: Clock = utc_now,
+) -> StreamingQuery:
+    """Topic records to closed window rows as ``start_windows`` gives them, and late rows to the error log.
+
+    The state of open windows is a small table of the store instead of the query's own: a row
+    per symbol and window that is open. The watermark is the latest time of all batches before, less
+    the delay. A tick whose window has closed by then is logged as ``late_tick`` with its topic position,
+    so every tick is in a closed window, in an open one, or in the log. State and watermark belong to the
+    store, and a replay under a new checkpoint counts nothing twice.
+    """
+    writer = writer_of(store.spark, "tracked_windows", checkpoint)
+
+    def store_batch(batch: DataFrame, batch_id: int) -> None:
+        with _new_rows(store, "windows", batch) as (checked, _):
+            if checked is None:
+                return
+            number = store.number_for("windows", writer, batch_id)
+            moment = store.batch_clock("tracked_windows", number, clock())
+            done = store.marker("window_state")
+            if done.seq == number:  # Only the ledger's note is missing.
+                return
+            place = F.struct("topic", "partition", "offset")
+            ticks = silver.to_silver(ingest.to_bronze(ingest.valid(checked), F.lit(None).cast("timestamp"), place), moment)
+            _track_windows(store, gold.in_windows(ticks, time_col, window), done, number, moment, watermark)
+
+    return _start(checked_records(raw, fmt), "tracked_windows", store_batch, trigger, checkpoint)
+
+
+def _track_windows(store: Store, timed: DataFrame, done: Marker, number: int, moment: datetime, watermark: timedelta) -> None:
+    late = F.lit(False) if done.as_of is None else F.col("window_end") <= instant(done.as_of - watermark)
+    write_errors(store, ingest.late_rows(timed.filter(late), moment), number, "windows")
+    latest = timed.agg(F.unix_micros(F.max("event_time")).alias("micros")).first().micros
+    reached = max(t for t in (done.as_of, None if latest is None else from_micros(latest), from_micros(0)) if t is not None)
+    closes = F.col("window_end") <= instant(reached - watermark)
+    # The state of the step before stays in the other slot, for a repeat of this one.
+    states = gold.window_states(timed.filter(~late)).unionByName(_open_windows(store, done))
+    merged = gold.merge_windows(states).persist()
+    try:
+        closed = gold.finish_windows(merged.filter(closes), moment)
+        store.replace_partitions(closed, "gold.window_aggregations", day=day_of(F.col("window_start")), batch=F.lit(number).cast("long"))
+        seq = done.low + 1
+        merged.filter(~closes).write.mode("overwrite").parquet(_open_path(store, seq))
+        store.mark("window_state", Marker(seq=number, low=seq, as_of=reached))
+    finally:
+        merged.unpersist()
+
+
+def _open_path(store: Store, seq: int) -> str:
+    return f"{store.root}/state/open_windows/slot={seq % SLOTS}"
+
+
+def _open_windows(store: Store, done: Marker) -> DataFrame:
+    if done.seq == 0:
+        return store.spark.createDataFrame([], WINDOW_STATE_SCHEMA)
+    return store.spark.read.schema(WINDOW_STATE_SCHEMA).parquet(_open_path(store, done.low))
+
+
+def open_windows(store: Store) -> DataFrame:
+    """The states of windows that no watermark has closed yet."""
+    return _open_windows(store, store.marker("window_state"))
+
+
 def start_dlq(
     messages: DataFrame,
     store: Store,
@@ -180,14 +279,16 @@ def start_dlq(
     checkpoint: str | None = None,
     clock: Clock = utc_now,
 ) -> StreamingQuery:
-    """Dead-letter records to error-log rows, each topic position once per batch."""
+    """Dead-letter records to error-log rows, each topic position once, whichever stream brings it."""
     writer = writer_of(store.spark, "dlq", checkpoint)
 
     def store_batch(batch: DataFrame, batch_id: int) -> None:
-        number = store.number_for("dlq", writer, batch_id)
-        moment = store.batch_clock("dlq", number, clock())
-        once = batch.dropDuplicates(["topic", "partition", "offset"])
-        write_errors(store, ingest.dlq_to_error_log(once, moment), number)
+        with _new_rows(store, "dlq", batch) as (letters, _):
+            if letters is None:
+                return
+            number = store.number_for("dlq", writer, batch_id)
+            moment = store.batch_clock("dlq", number, clock())
+            write_errors(store, ingest.dlq_to_error_log(letters, moment), number, "dlq")
 
     return _start(messages, "dlq", store_batch, trigger, checkpoint)
 
@@ -199,6 +300,35 @@ def start_publish(
     return _start(ingest.publish_payload(ingest.normalize_ticker(tickers)), "publish", sink, trigger, checkpoint)
 
 
+def start_landing(
+    lines: DataFrame,
+    store: Store,
+    sink: Sink,
+    trigger: dict | None = None,
+    checkpoint: str | None = None,
+    clock: Clock = utc_now,
+) -> StreamingQuery:
+    """Landed lines to keyed messages; lines that are no ticker, and tickers that can't be sent, to the error log."""
+    writer = writer_of(store.spark, "landing", checkpoint)
+
+    def store_batch(batch: DataFrame, batch_id: int) -> None:
+        decoded = batch.persist()
+        try:
+            if decoded.isEmpty():
+                return
+            with store.exclusive("landing"):
+                number = store.number_for("landing", writer, batch_id)
+                moment = store.batch_clock("landing", number, clock())
+            tickers = ingest.normalize_ticker(landed(decoded))
+            refused = landing_rejects(decoded, moment).unionByName(ingest.publish_rejects(tickers, moment))
+            write_errors(store, refused, number, "landing")
+            sink(ingest.publish_payload(tickers), batch_id)
+        finally:
+            decoded.unpersist()
+
+    return _start(decode_landing(lines), "landing", store_batch, trigger, checkpoint)
+
+
 def run_until_any_stops(spark: SparkSession) -> None:
     """Blocks until one of the session's streams ends or fails."""
     spark.streams.awaitAnyTermination()
