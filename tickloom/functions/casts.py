@@ -65,13 +65,16 @@ def base64_text(c: Column) -> Column:
     return F.translate(F.base64(c), "\r\n", "")
 
 
-def computed_once(d: DataFrame, name: str, c: Column) -> DataFrame:
+def computed_once(d: DataFrame, name: str, c: Column, where: Column | None = None) -> DataFrame:
     """Adds a costly column so that it is evaluated once per row.
 
     A filter on a plain projected column is pushed below the projection and takes a
     copy of the expression along for each use; a parse would run many times per row.
-    A generator over a one-element array is not pushed through, and adds no row.
+    A generator over a one-element array is not pushed through, and adds no row. Rows that
+    ``where`` doesn't hold for get none: a filter before a parse makes the planner copy its input.
     """
+    if where is not None:
+        return d.select("*", F.explode(F.when(where, F.array(c))).alias(name))
     return d.select("*", F.explode_outer(F.array(c)).alias(name))
 
 

@@ -28,15 +28,15 @@ def _record(parsed: DataFrame, ok: Column) -> DataFrame:
     ).select(*RECORD_COLUMNS, "data.*", "decode_ok")
 
 
-def parse_strictly(d: DataFrame, text: Column, schema: StructType) -> DataFrame:
+def parse_strictly(d: DataFrame, text: Column, schema: StructType, where: Column | None = None) -> DataFrame:
     """Adds ``data`` (a struct) and ``decode_ok``: whether the text is one JSON object of these types and nothing else.
 
-    One parse per row. ``data`` is NULL where the text is refused.
+    One parse per row; only rows of ``where``, if given. ``data`` is NULL where the text is refused.
     """
     guard = guard_word()
     checked = StructType([StructField(guard, MapType(StringType(), schema)), StructField(CORRUPT, StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = computed_once(d, "_parsed", F.from_json(guarded(text, guard), checked, options))
+    parsed = computed_once(d, "_parsed", F.from_json(guarded(text, guard), checked, options), where)
     members, value = F.col(f"_parsed.`{guard}`"), F.col(f"_parsed.`{guard}`").getItem("value")
     whole = (F.size(members) == 2) & F.map_contains_key(members, guard) & F.col(f"_parsed.{CORRUPT}").isNull()
     ok = F.coalesce(whole & value.isNotNull(), F.lit(False))
@@ -82,8 +82,7 @@ def decode_landing(lines: DataFrame) -> DataFrame:
 
     Empty lines are no lines.
     """
-    filled = lines.filter(F.trim("value") != "")
-    parsed = parse_strictly(filled, F.col("value"), TICKER_SCHEMA)
+    parsed = parse_strictly(lines, F.col("value"), TICKER_SCHEMA, F.trim("value") != "")
     return parsed.select("path", "position", "value", "decode_ok", "data.*")
 
 
