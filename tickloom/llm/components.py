@@ -2,16 +2,24 @@
 
 A node's neighbours are never gathered: a step needs the least neighbour (a partial aggregation)
 and a join on the node, which skew-join handling may split. Every step is written to the shared
-folder, so that lineage stays short and lost executors cost one step.
+folder, so that lineage stays short and lost executors cost one step. Links that are few enough for
+one partition stay in one, so that a step is one small task instead of several shuffles.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import discard, stored
 
+#: Links that one partition holds: some 10 MB.
+PART_ROWS = 1 << 17
+
+Shape = Callable[[DataFrame], DataFrame]
+
 
 def _least(pairs: DataFrame) -> DataFrame:
     """(u, v) -> (u, v, m): m is the least of u and its v."""
@@ -19,22 +27,29 @@ def _least(pairs: DataFrame) -> DataFrame:
     return pairs.join(least, "u")
 
 
+def _noted(pairs: DataFrame) -> tuple[DataFrame, tuple[int, object], Shape]:
+    """The pairs as a table, its number of rows and the sum of their hashes, and how to partition so many."""
+    seen = Observation()
+    told = pairs.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("s"))
+    table, found = stored(told, "links"), seen.get
+    n = found.get("n") or 0
+    return table, (n, found.get("s")), (lambda d: d.coalesce(1)) if n <= PART_ROWS else (lambda d: d)
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, component (its least node), for every node of links (a, b); loops and repeats don't matter."""
     spark = links.sparkSession
     ordered = links.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    now, before = stored(ordered, "links"), None
-    while True:
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    (now, told, shape), before = _noted(ordered), None
+    while told != before:
+        pairs = shape(now)
+        both = shape(pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))))
         large = _least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         met = _least(large)
-        small = met.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(met.select("u", F.col("m").alias("v"))).distinct()
-        after = stored(small, "links")
-        told = after.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("s")).first()
+        small = shape(met.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(met.select("u", F.col("m").alias("v")))).distinct()
+        before = told
+        after, told, shape = _noted(small)
         discard(spark, now)
         now = after
-        if told == before:
-            break
-        before = told
     roots = now.select(F.col("v").alias("node")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots.select("node", F.col("node").alias("component")))

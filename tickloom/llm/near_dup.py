@@ -29,10 +29,11 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import discard, slices, stored, texts, work_path
@@ -44,6 +45,10 @@ BANDS, ROWS = 24, 5
 #: Members up to which a bucket is compared in full; members of larger ones compared in the first
 #: round, and how many times more in each later one, when most members share a component.
 SMALL, CENTERS, MORE = 64, 16, 8
+#: Parts that the members of a large bucket are dealt into, to meet its centers.
+DEALS = 16
+#: Bytes that go to Python at once where pairs of sets are compared; a pair of long texts is large.
+PAIR_BYTES = 1 << 23
 #: Bits of the map of keys whose sets are made: 16 MB at most.
 MOST_BITS = 1 << 27
 
@@ -254,14 +259,32 @@ def _links(members: DataFrame, sets: DataFrame, least: float, counted: bool) ->
         open_pair = (F.col("component") != F.col("component2")) & alike("weight", "weight2") & enough
         small, large = live.where(F.col("n") <= SMALL), live.where(F.col("n") > SMALL)
         centers = stored(large.withColumn("nr", F.row_number().over(Window.partitionBy("band").orderBy("key"))).where(F.col("nr") <= CENTERS * MORE**turn).drop("nr"), "centers")
-        pairs = small.join(other(small), "band").where(open_pair & (F.col("key") < F.col("key2")))
-        pairs = pairs.unionByName(large.join(other(centers), "band").where(open_pair)).select(*_pair("key", "key2")).distinct()
+        pairs = small.join(other(small), "band").where(open_pair & (F.col("key") < F.col("key2"))).select("key", "key2")
+        # The members of a bucket are dealt over several tasks, each of which gets the bucket's centers.
+        dealt = large.withColumn("deal", F.pmod(F.xxhash64("key"), F.lit(DEALS)))
+        each = other(centers).withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(DEALS - 1).cast("long"))))
+        pairs = pairs.unionByName(dealt.join(each, ["band", "deal"]).where(open_pair).select(*pairs.columns)).select(*_pair("key", "key2")).distinct()
         decided = _decide_pairs(stored(pairs.join(decided, ["a", "b"], "left_anti"), "pairs"), sets, least, path)
         members = stored(large.join(centers, ["band", "key"], "left_anti").select("band", "key", "weight", "left"), "members")
         discard(spark, live, centers)
         turn = min(turn + 1, 2)
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Limits the bytes of a batch that goes to Python while the pairs are decided, which is done inside."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(PAIR_BYTES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def classes(docs: DataFrame, run: int = RUN, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, weights: str = "set") -> DataFrame:
     """doc_id, text_hash, class_id, class_size, kept (the first of its class) for every row of docs (doc_id, text).
 
@@ -281,7 +304,8 @@ def classes(docs: DataFrame, run: int = RUN, least: float = SIMILARITY, bands: i
     shared = banded.groupBy("band").agg(F.count("*").alias("n"), F.min(F.struct("key", "weight")).alias("c")).where("n > 1")
     members = stored(banded.join(shared, "band").select("band", "key", "weight", F.col("c.key").alias("center"), F.col("c.weight").alias("center_weight")), "members")
     sets = _sets_of(named, signed, members, run, counted)
-    found = _links(members, sets, least, counted)
+    with _small_batches(docs.sparkSession):
+        found = _links(members, sets, least, counted)
     own = F.coalesce(F.hex("component"), F.hex("key"), F.concat(F.lit("row "), F.monotonically_increasing_id().cast("string")))
     placed = stored(signed.drop("bands").join(found, "key", "left").select("doc_id", "text_hash", own.alias("class")), "placed")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
