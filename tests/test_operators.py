@@ -22,7 +22,7 @@ from tickloom.schemas import (
     SILVER_SCHEMA,
     TICKER_SCHEMA,
 )
-from tickloom.sources import decode
+from tickloom.sources import adapters, decode
 
 NOON = datetime(2024, 1, 1, 12, 0)
 
@@ -370,3 +370,9 @@ def test_scans_get_literal_ranges_and_few_columns(spark, sf_dir, tmp_path, capsy
     assert "GreaterThan(id,5)" in scan(silver.incremental(stored, 5))
     counted = scan(quality.recent_bronze(stored.withColumnRenamed("bronze_ingested_at", "ingested_at"), NOON))
     assert "last_price" not in counted
+
+
+def test_every_number_fails_to_fit_somewhere_in_the_given_events(spark, sf_dir):
+    ticks = adapters.events_to_bronze(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    failures = {r.column_name: r.failures for r in silver.cast_failures(ticks).collect()}
+    assert len(failures) == 13 and min(failures.values()) > 0

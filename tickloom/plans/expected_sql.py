@@ -29,24 +29,31 @@ def _price(e: str) -> str:
     return f"CAST(CAST({e} AS DECIMAL(20,8)) AS VARCHAR)"
 
 
+def _bad(place: int, e: str) -> str:
+    """The optional number of this place, bad on its own rows."""
+    bad = "repeat('9', 30)" if place % 2 else "'junk'"
+    return f"CASE WHEN event_id % 211 = {17 * (place + 1)} THEN {bad} ELSE {e} END"
+
+
 def _bronze(symbol: str, value: str) -> str:
+    blank_pct = f"CASE WHEN event_id % 83 = 3 THEN '' ELSE CAST(CAST({value} - 100 AS DECIMAL(20,4)) AS VARCHAR) END"
     return f"""
     SELECT event_id + 1 AS id,
            CASE WHEN event_id % 101 <> 7 THEN {symbol} END AS symbol,
-           {_price(f"{value} - 100")} AS price_change,
-           CASE WHEN event_id % 83 = 3 THEN ''
-                ELSE CAST(CAST({value} - 100 AS DECIMAL(20,4)) AS VARCHAR) END AS price_change_pct,
-           {_price(value)} AS weighted_avg_price,
-           {_price(value)} AS prev_close_price,
+           {_bad(0, _price(f"{value} - 100"))} AS price_change,
+           {_bad(1, blank_pct)} AS price_change_pct,
+           {_bad(2, _price(value))} AS weighted_avg_price,
+           {_bad(3, _price(value))} AS prev_close_price,
            CASE WHEN event_id % 97 = 5 THEN '' WHEN event_id % 89 = 5 THEN 'n/a' ELSE {_price(value)} END AS last_price,
-           {_price(value)} AS last_qty,
-           {_price(value)} AS bid_price,
-           {_price(value)} AS ask_price,
-           {_price(f"{value} * 0.95::DOUBLE")} AS open_price,
-           {_price(f"{value} * 1.05::DOUBLE")} AS high_price,
-           {_price(f"{value} * 0.9::DOUBLE")} AS low_price,
-           CASE WHEN event_id % 107 = 9 THEN '' ELSE {_price(f"{value} * 10")} END AS volume,
-           {_price(f"{value} * {value}")} AS quote_volume,
+           {_bad(4, _price(value))} AS last_qty,
+           {_bad(5, _price(value))} AS bid_price,
+           {_bad(6, _price(value))} AS ask_price,
+           {_bad(7, _price(f"{value} * 0.95::DOUBLE"))} AS open_price,
+           {_bad(8, _price(f"{value} * 1.05::DOUBLE"))} AS high_price,
+           {_bad(9, _price(f"{value} * 0.9::DOUBLE"))} AS low_price,
+           CASE WHEN event_id % 89 = 5 AND event_id % 2 = 0 THEN 'junk'
+                WHEN event_id % 107 = 9 THEN '' ELSE {_price(f"{value} * 10")} END AS volume,
+           {_bad(10, _price(f"{value} * {value}"))} AS quote_volume,
            epoch_us(ts) // 1000 - 86400000 AS open_time,
            epoch_us(ts) // 1000 AS close_time,
            event_id % 1000 AS trade_count,

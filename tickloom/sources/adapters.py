@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.schemas import BRONZE_SCHEMA, PERCENT, PRICE, TICKER_FIELDS
+from tickloom.schemas import BRONZE_SCHEMA, CRITICAL_DECIMALS, DECIMAL_COLUMNS, PERCENT, PRICE, TICKER_FIELDS
 
 DAY_MS = 86_400_000
 FEED_TOPIC = "ticker"
@@ -25,6 +25,21 @@ def _hits(key: Column, modulus: int, remainder: int) -> Column:
     return key % modulus == remainder
 
 
+# Optional numbers are bad on rows of their own: the column's place among them tells which. Even places hold
+# text that is no number, odd ones a number too large for any column. A bad volume only comes with a bad price.
+BAD_EVERY, JUNK, TOO_LARGE = 211, "junk", "9" * 30
+OPTIONAL_NUMBERS = [c for c in DECIMAL_COLUMNS if c not in CRITICAL_DECIMALS]
+
+
+def _with_bad_numbers(columns: dict[str, Column], key: Column) -> dict[str, Column]:
+    bad = {
+        c: F.when(_hits(key, BAD_EVERY, 17 * (place + 1)), TOO_LARGE if place % 2 else JUNK).otherwise(columns[c])
+        for place, c in enumerate(OPTIONAL_NUMBERS)
+    }
+    volume = F.when(_hits(key, 89, 5) & _hits(key, 2, 0), JUNK).otherwise(columns["volume"])
+    return {**columns, **bad, "volume": volume}
+
+
 def _utc(ts: Column) -> Column:
     """A zone-less timestamp read as UTC, whatever the session zone is."""
     return F.convert_timezone(F.lit("UTC"), F.current_timezone(), ts).cast("timestamp")
@@ -49,7 +64,8 @@ def _bronze(d: DataFrame, key: Column, symbol: Column, value: Column, moment: Co
         "trade_count": key % 1000,
         "ingested_at": moment,
     }
-    return d.select(*[columns.get(f.name, price).alias(f.name) for f in BRONZE_SCHEMA])
+    whole = _with_bad_numbers({f.name: columns.get(f.name, price) for f in BRONZE_SCHEMA}, key)
+    return d.select(*[whole[f.name].alias(f.name) for f in BRONZE_SCHEMA])
 
 
 def events_to_bronze(events: DataFrame) -> DataFrame:
