@@ -60,6 +60,12 @@ def test_clean_keeps_the_others_whole(spark, odd_docs):
     assert {r.doc_id for r in left.select("doc_id").collect()} == {2, 3, 4, 5, 6, 7, None}
 
 
+def test_clean_with_columns_of_its_own_names(spark):
+    docs = spark.createDataFrame([(1, "two words", 5, "h"), (2, "others here", 6, None)], "doc_id long, text string, bad_id long, bad_hash string").selectExpr("*", "doc_id AS own_id", "doc_id AS whole")
+    left = decontam.clean(docs, spark.createDataFrame([(1, "Two words")], ITEMS))
+    assert left.columns == docs.columns and [tuple(r) for r in left.collect()] == [(2, "others here", 6, None, 2, 2)]
+
+
 @given(st.lists(st.integers(0, 4), min_size=13, max_size=60), st.integers(0, 40), st.lists(st.integers(0, 4), max_size=30))
 @settings(max_examples=200, deadline=None)
 def test_winnowing_finds_every_shared_window(a, at, more):

@@ -110,3 +110,12 @@ def test_components(spark, rng):
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a string, b string")).collect()}
     assert got == {**{n: nodes[0] for n in nodes[:41]}, **{n: nodes[50] for n in nodes[50:90]}, nodes[90]: nodes[90], nodes[99]: nodes[90]}
     assert components(spark.createDataFrame([], "a string, b string")).count() == 0
+
+
+def test_the_kept_rows_are_whole_whatever_their_columns_are_called(spark):
+    text = "one two three four five six seven"
+    docs = spark.createDataFrame([(1, text, 99, "x"), (2, text, 77, "y"), (3, "other words that stand here alone", None, None)], "doc_id long, text string, kept_id long, first_hash string")
+    docs = docs.withColumnRenamed("first_hash", "own_hash").selectExpr("*", "kept_id AS kept_hash", "kept_id AS first_id", "doc_id AS `a.b`")
+    left = near_dup.deduplicate(docs)
+    assert left.columns == docs.columns
+    assert sorted(map(str, left.collect())) == sorted(map(str, docs.where("doc_id <> 2").collect()))

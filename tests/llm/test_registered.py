@@ -90,3 +90,14 @@ def test_the_rest_works_without_the_package(tmp_path):
 def test_nothing_else_imports_the_package():
     for path in (ROOT / "tickloom").rglob("*.py"):
         assert "llm" in path.parts or "tickloom.llm" not in path.read_text()
+
+
+def test_a_cluster_without_a_shared_folder_is_refused(monkeypatch):
+    from tickloom.llm import common
+
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default=None: {"spark.master": "yarn"}.get(key, default))
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        common.shared_dir(Session)

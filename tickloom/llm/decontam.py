@@ -181,5 +181,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs that aren't contaminated, with all their columns."""
     bad = decontaminate(docs, benchmark).where("contaminated").select(F.col("doc_id").alias("bad_id"), F.col("text_hash").alias("bad_hash")).distinct()
-    match = F.col("doc_id").eqNullSafe(F.col("bad_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("bad_hash"))
-    return docs.join(bad, match, "left_anti")
+    # The row as a whole, so that no column of docs can clash with those of the join.
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"), F.col("doc_id").alias("own_id"), F.xxhash64(F.col("text").cast("string")).alias("own_hash"))
+    return own.join(bad, F.col("own_id").eqNullSafe(F.col("bad_id")) & (F.col("own_hash") == F.col("bad_hash")), "left_anti").select("whole.*")

@@ -317,7 +317,8 @@ def classes(docs: DataFrame, run: int = RUN, least: float = SIMILARITY, bands: i
 
 def deduplicate(docs: DataFrame, **settings) -> DataFrame:
     """One row of docs of each class, with all its columns."""
-    first = classes(docs, **settings).where("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash")).distinct()
-    hashed = docs.withColumn("kept_hash", F.xxhash64(F.col("text").cast("string"))).withColumn("kept_id", F.col("doc_id"))
-    same = hashed["kept_id"].eqNullSafe(first["kept_id"]) & (hashed["kept_hash"] == first["kept_hash"])
-    return hashed.join(first, same, "left_semi").dropDuplicates(["kept_id", "kept_hash"]).select(*docs.columns)
+    first = classes(docs, **settings).where("kept").select(F.col("doc_id").alias("first_id"), F.col("text_hash").alias("first_hash")).distinct()
+    # The row as a whole, so that no column of docs can clash with those of the join.
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"), F.col("doc_id").alias("own_id"), F.xxhash64(F.col("text").cast("string")).alias("own_hash"))
+    same = F.col("own_id").eqNullSafe(F.col("first_id")) & (F.col("own_hash") == F.col("first_hash"))
+    return own.join(first, same, "left_semi").dropDuplicates(["own_id", "own_hash"]).select("whole.*")
