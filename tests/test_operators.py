@@ -142,6 +142,13 @@ def test_frame_round_trip(spark):
     assert (row.schema_id, bytes(row.body)) == (70_000, b"body")
 
 
+def test_values_of_another_schema_have_no_body(spark):
+    d = raw(spark, b"a", b"b", b"c").withColumn("value", F.when(F.col("offset") == 2, F.col("value")).otherwise(ingest.framed(F.col("value"), 7)))
+    d = d.withColumn("value", F.when(F.col("offset") == 1, ingest.framed(F.lit(b"b"), 8)).otherwise(F.col("value")))
+    found = decode.unframe(d, 7).orderBy("offset").collect()
+    assert [(r.schema_id, r.body and bytes(r.body)) for r in found] == [(7, b"a"), (8, None), (None, None)]
+
+
 def test_avro_failures_have_their_own_type(spark):
     d = decode.decode_json(raw(spark, "?"))
     log = ingest.to_error_log(ingest.rejected(ingest.with_reject_reason(d, "avro")), "consumer", NOON)

@@ -50,20 +50,27 @@ def decode_json(raw: DataFrame, schema: StructType = TICKER_SCHEMA) -> DataFrame
     return _record(parsed, F.col("decode_ok"))
 
 
-def unframe(raw: DataFrame) -> DataFrame:
-    """Split the registry frame off binary values: adds ``schema_id`` and ``body`` (NULL if not framed)."""
+def unframe(raw: DataFrame, schema_id: int | None = None) -> DataFrame:
+    """Split the registry frame off binary values: adds ``schema_id`` and ``body``.
+
+    Both are NULL if the value isn't framed; with ``schema_id`` the body of another schema's value is NULL too,
+    as its bytes mean something else.
+    """
     framed = (F.length("value") > FRAME_BYTES) & (F.hex(F.substring("value", 1, 1)) == "00")
-    schema_id = F.conv(F.hex(F.substring("value", 2, 4)), 16, 10).cast("int")
-    return raw.withColumn("schema_id", F.when(framed, schema_id)).withColumn(
-        "body", F.when(framed, F.expr(f"substring(value, {FRAME_BYTES + 1})"))
-    )
+    found = F.when(framed, F.conv(F.hex(F.substring("value", 2, 4)), 16, 10).cast("int"))
+    body = F.when(framed, F.expr(f"substring(value, {FRAME_BYTES + 1})"))
+    own = body if schema_id is None else F.when(F.col("schema_id") == schema_id, body)
+    return raw.withColumn("schema_id", found).withColumn("body", own)
 
 
-def decode_avro(raw: DataFrame, schema_json: str | None = None) -> DataFrame:
-    """Framed Avro values to wire columns. Needs the spark-avro package on the session's class path."""
+def decode_avro(raw: DataFrame, schema_json: str | None = None, schema_id: int | None = None) -> DataFrame:
+    """Framed Avro values to wire columns; ``schema_id`` is the registry's id of the schema, all others are refused.
+
+    Needs the spark-avro package on the session's class path.
+    """
     from pyspark.sql.avro.functions import from_avro
 
-    staged = unframe(raw)
+    staged = unframe(raw, schema_id)
     parsed = from_avro(F.col("body"), schema_json or avro_contract(), {"mode": "PERMISSIVE"})
     # A permissive failure comes back as a null record or one without its required fields.
     ok = F.col("data").isNotNull() & F.col("data.symbol").isNotNull()
