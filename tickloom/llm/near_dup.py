@@ -45,8 +45,8 @@ BANDS, ROWS = 24, 5
 #: Members up to which a bucket is compared in full; members of larger ones compared in the first
 #: round, and how many times more in each later one, when most members share a component.
 SMALL, CENTERS, MORE = 64, 16, 8
-#: Parts that the members of a large bucket are dealt into, to meet its centers.
-DEALS = 16
+#: Members of a large bucket that meet its centers in one task, about.
+DEALT = 512
 #: Bytes that go to Python at once where pairs of sets are compared; a pair of long texts is large.
 PAIR_BYTES = 1 << 23
 #: Bits of the map of keys whose sets are made: 16 MB at most.
@@ -233,6 +233,11 @@ def _rare_runs(keys: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return first.select(F.col("run").alias("band"), "key", "weight", (F.col("known") - F.col("nr") + 1).alias("left"))
 
 
+def _others(members: DataFrame, *by: str) -> DataFrame:
+    """Members as the second ones of pairs, by band and `by`."""
+    return members.select("band", *by, *[F.col(c).alias(f"{c}2") for c in ("key", "weight", "component", "left")])
+
+
 def _links(members: DataFrame, sets: DataFrame, least: float, counted: bool) -> DataFrame:
     """key, component of the keys with links. members: band, key, weight, center, center_weight."""
     spark, path = members.sparkSession, work_path(members.sparkSession, "decided")
@@ -253,16 +258,17 @@ def _links(members: DataFrame, sets: DataFrame, least: float, counted: bool) ->
         if not rare and not counted:
             rare, members = True, stored(_rare_runs(live.select("key", "weight").distinct(), sets, least), "rare-runs")
             continue
-        other = lambda d: d.select("band", F.col("key").alias("key2"), F.col("weight").alias("weight2"), F.col("component").alias("component2"), F.col("left").alias("left2"))
         # Two sets that first meet at a run share no more than what is left of either from there on.
         enough = F.least("left", "left2") >= least / (1 + least) * (F.col("weight") + F.col("weight2")) - 1e-6
         open_pair = (F.col("component") != F.col("component2")) & alike("weight", "weight2") & enough
         small, large = live.where(F.col("n") <= SMALL), live.where(F.col("n") > SMALL)
         centers = stored(large.withColumn("nr", F.row_number().over(Window.partitionBy("band").orderBy("key"))).where(F.col("nr") <= CENTERS * MORE**turn).drop("nr"), "centers")
-        pairs = small.join(other(small), "band").where(open_pair & (F.col("key") < F.col("key2"))).select("key", "key2")
-        # The members of a bucket are dealt over several tasks, each of which gets the bucket's centers.
-        dealt = large.withColumn("deal", F.pmod(F.xxhash64("key"), F.lit(DEALS)))
-        each = other(centers).withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(DEALS - 1).cast("long"))))
+        pairs = small.join(_others(small), "band").where(open_pair & (F.col("key") < F.col("key2"))).select("key", "key2")
+        # The members of a very large bucket are dealt over several tasks, each of which gets the bucket's centers.
+        parts = F.ceil(F.col("n") / DEALT)
+        dealt = large.withColumn("deal", F.pmod(F.xxhash64("key"), parts))
+        each = centers.withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+        each = _others(each, "deal")
         pairs = pairs.unionByName(dealt.join(each, ["band", "deal"]).where(open_pair).select(*pairs.columns)).select(*_pair("key", "key2")).distinct()
         decided = _decide_pairs(stored(pairs.join(decided, ["a", "b"], "left_anti"), "pairs"), sets, least, path)
         members = stored(large.join(centers, ["band", "key"], "left_anti").select("band", "key", "weight", "left"), "members")
