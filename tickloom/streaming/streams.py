@@ -80,8 +80,11 @@ def _new_rows(store: Store, source: str, batch: DataFrame) -> Iterator[tuple[Dat
         with store.exclusive(source):
             ledger = Ledger(store, source)
             fresh = ledger.fresh(held)
-            yield (None if fresh.repeated and fresh.rows.isEmpty() else fresh.rows), fresh.repeated
-            ledger.note(fresh)
+            try:
+                yield (None if fresh.repeated and fresh.rows.isEmpty() else fresh.rows), fresh.repeated
+                ledger.note(fresh)
+            finally:
+                fresh.spans.unpersist()
     finally:
         held.unpersist()
 
