@@ -16,11 +16,23 @@ from tickloom.llm.common import table, work_path
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Least posterior probability of the predicted language, and of the best grade.
 LEAST_LANGUAGE_SCORE, LEAST_BEST_GRADE = 0.5, 0.5
+#: Bytes of a batch that goes to Python: a worker holds a few times as much beside its model.
+BATCH_BYTES = 1 << 23
 BPE_PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def _batches(spark: SparkSession, size: int | None = BATCH_BYTES) -> None:
+    """Limits the batches of this stage, which runs when its result is written; None: Spark's own limit."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if size is None:
+        spark.conf.unset(name)
+    else:
+        spark.conf.set(name, str(size))
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that is learned from them: those without letters or without a clear language go."""
+    _batches(spark)
     model = language.fit(docs)
     if model is None:  # Nothing was learned, so only a text without letters can be rejected.
         return language.lettered(docs).select(*COLUMNS)
@@ -30,6 +42,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are likely of the best grade: toxic and poor ones go."""
+    _batches(spark)
     labels = table(spark, sf_dir, "labels")
     model = quality_model.fit(docs, labels.select("doc_id", quality_model.grade_of(F.col("quality"), F.col("toxic")).alias("grade")))
     return quality_model.predict(docs, model, LEAST_BEST_GRADE).where("selected").select(*COLUMNS)
@@ -37,16 +50,19 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least doc_id of each class."""
+    _batches(spark)
     return near_dup.deduplicate(docs).select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that don't hold benchmark passages as a twentieth of their words or more."""
+    _batches(spark)
     return decontam.clean(docs, table(spark, sf_dir, "benchmark")).select(*COLUMNS)
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of each document left."""
+    _batches(spark, None)  # Its blocks are cut from whole batches; smaller ones would be more.
     return bpe.round_trip(docs, BPE_PATH, public_tokenizers.PATTERN)
 
 
