@@ -16,8 +16,8 @@ from tickloom.llm.common import table, work_path
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Least posterior probability of the predicted language, and of the best grade.
 LEAST_LANGUAGE_SCORE, LEAST_BEST_GRADE = 0.5, 0.5
-#: Bytes of a batch that goes to Python: a worker holds a few times as much beside its model.
-BATCH_BYTES = 1 << 23
+#: Bytes of a batch that goes to Python: a worker holds a few times as much beside its model, and the executor outside its heap.
+BATCH_BYTES = 1 << 21
 BPE_PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 

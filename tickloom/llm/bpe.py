@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import slices, texts
+from tickloom.llm.common import map_arrow, slices, texts
 from tickloom.llm.words import BASE, mix, span_hashes
 
 #: Bytes of text of a block, about: bounds the tasks that make it and put it together.
@@ -254,9 +254,9 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     table does; other frames have to be stored first, else the job fails.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    words = rows.mapInArrow(lambda b: _word_rows(b, pattern), WORD_SCHEMA)
-    packs = words.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(lambda b: _encode_words(b, path), PACK_SCHEMA)
-    blocks = rows.mapInArrow(lambda b: _block_rows(b, pattern), BLOCK_SCHEMA)
+    words = map_arrow(rows, lambda b: _word_rows(b, pattern), WORD_SCHEMA)
+    packs = map_arrow(words.repartition("bucket").sortWithinPartitions("bucket"), lambda b: _encode_words(b, path), PACK_SCHEMA)
+    blocks = map_arrow(rows, lambda b: _block_rows(b, pattern), BLOCK_SCHEMA)
     return blocks.groupBy("block").cogroup(packs.groupBy("owner")).applyInPandas(_assemble, "doc_id long, ids array<int>")
 
 
@@ -274,7 +274,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
     A null list decodes to no bytes; an id that the table lacks fails the job.
     """
-    return encoded.select("doc_id", "ids").mapInArrow(lambda b: _decode(b, path), "doc_id long, ids array<int>, decoded binary")
+    return map_arrow(encoded.select("doc_id", "ids"), lambda b: _decode(b, path), "doc_id long, ids array<int>, decoded binary")
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:

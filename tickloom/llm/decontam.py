@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import slices, texts
+from tickloom.llm.common import map_arrow, slices, texts
 from tickloom.llm.words import mix, shingles, word_hashes
 
 WINDOW, K = 13, 5
@@ -150,7 +150,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k
     """doc_id, text_hash, n_words, n_hit, items (sorted ids as strings), contaminated, for each row of docs (doc_id, text)."""
     spark = docs.sparkSession
     named = benchmark.where(F.col("item_id").isNotNull()).select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
-    items = named.mapInArrow(lambda b: _item_rows(b, window, k), "item_id string, mark long, size int, item_words binary")
+    items = map_arrow(named, lambda b: _item_rows(b, window, k), "item_id string, mark long, size int, item_words binary")
     told = items.agg(F.count("*").alias("n"), F.collect_set(F.nullif("size", F.lit(0))).alias("sizes")).first()
     n_bits = min(MOST_BITS, max(LEAST_BITS, 1 << (16 * told["n"]).bit_length()))
     # 32,768 places make one row: n_bits / 32,768 rows of 4 KB at most.
@@ -163,10 +163,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k
     key = F.struct("doc_id", F.xxhash64("text").alias("text_hash"), F.monotonically_increasing_id().alias("nr")).alias("row")
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).select(key, "text")
     kind = rows.schema["row"].dataType.simpleString()
-    found = rows.mapInArrow(lambda b: _doc_rows(b, shared.value, sizes, window, k), f"row {kind}, n_words long, found array<struct<mark: long, at: int, words: binary>>")
+    found = map_arrow(rows, lambda b: _doc_rows(b, shared.value, sizes, window, k), f"row {kind}, n_words long, found array<struct<mark: long, at: int, words: binary>>")
     each = found.select("row", "n_words", F.explode_outer("found").alias("f")).select("row", "n_words", "f.at", "f.words", F.coalesce("f.mark", F.xxhash64("row")).alias("mark"))
     spans = each.join(items, "mark", "left").select("row", "n_words", "at", "words", "size", "item_words", "item_id")
-    spans = spans.mapInArrow(lambda b: _extend(b, window, k), f"row {kind}, n_words long, span struct<begin: long, end: long>, item_id string")
+    spans = map_arrow(spans, lambda b: _extend(b, window, k), f"row {kind}, n_words long, span struct<begin: long, end: long>, item_id string")
     ended = spans.groupBy("row").agg(F.max("n_words").alias("n_words"), F.collect_set("span").alias("spans"), F.collect_set("item_id").alias("items"))
     covered = F.aggregate(
         F.sort_array("spans"),

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import slices, texts, with_columns
+from tickloom.llm.common import map_arrow, slices, texts, with_columns
 
 BUCKETS = 1 << 15
 #: Training documents per language, about: those whose hashed id falls below a share are taken.
@@ -96,7 +96,7 @@ def fit(docs: DataFrame, sample_per_lang: int = SAMPLE_PER_LANG) -> Model | None
     shares = F.create_map(*[F.lit(x) for lang, n in per_lang.items() for x in (lang, min(1.0, sample_per_lang / n))])
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / F.lit(1_000_003.0)
     sample = labelled.where(place < shares[F.col("lang")]).select("lang", "text")
-    summed = sample.mapInArrow(_count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    summed = map_arrow(sample, _count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     rows = summed.toPandas()
     if rows.empty:
         return None

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import discard, slices, stored, texts, work_path
+from tickloom.llm.common import discard, map_arrow, slices, stored, texts, work_path
 from tickloom.llm.components import components
 from tickloom.llm.words import BASE, mix, shingles, word_hashes
 
@@ -47,8 +47,8 @@ BANDS, ROWS = 24, 5
 SMALL, CENTERS, MORE = 64, 16, 8
 #: Members of a large bucket that meet its centers in one task, about.
 DEALT = 512
-#: Bytes that go to Python at once where pairs of sets are compared; a pair of long texts is large.
-PAIR_BYTES = 1 << 23
+#: Bytes that go to Python at once where pairs of sets are compared; an executor holds a batch several times outside its heap.
+PAIR_BYTES = 1 << 21
 #: Bits of the map of keys whose sets are made: 16 MB at most.
 MOST_BITS = 1 << 27
 
@@ -190,16 +190,16 @@ def _sets_of(named: DataFrame, signed: DataFrame, members: DataFrame, run: int,
     # The map keeps most other texts out of the shuffle; what it lets through wrongly goes at the join.
     found = named.withColumn("place", F.pmod(F.xxhash64(place), F.lit(size)))
     kind = found.select("place", "doc_id", "text_hash", "text").schema["doc_id"].dataType.simpleString()
-    passed = found.select("place", "doc_id", "text_hash", "text").mapInArrow(lambda b: _known(b, shared.value), f"place long, doc_id {kind}, text_hash long, text string")
+    passed = map_arrow(found.select("place", "doc_id", "text_hash", "text"), lambda b: _known(b, shared.value), f"place long, doc_id {kind}, text_hash long, text string")
     same = F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.col("text_hash") == F.col("rep_hash"))
     chosen = passed.join(texts_of, same).select(F.col("set_key").alias("key"), "text").dropDuplicates(["key"])
-    return stored(chosen.mapInArrow(lambda b: _sets(b, run, counted), "key binary, elements binary, weights binary"), "sets")
+    return stored(map_arrow(chosen, lambda b: _sets(b, run, counted), "key binary, elements binary, weights binary"), "sets")
 
 
 def _decide_pairs(pairs: DataFrame, sets: DataFrame, least: float, path: str) -> DataFrame:
     """Adds a, b, linked of pairs (a, b) to the table at path, and gives all of its rows."""
     side = lambda x: sets.select(F.col("key").alias(x), F.col("elements").alias(f"elements_{x}"), F.col("weights").alias(f"weights_{x}"))
-    decided = pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(lambda b: _decide(b, least), "a binary, b binary, linked boolean")
+    decided = map_arrow(pairs.join(side("a"), "a").join(side("b"), "b"), lambda b: _decide(b, least), "a binary, b binary, linked boolean")
     decided.write.mode("append").parquet(path)
     return sets.sparkSession.read.schema("a binary, b binary, linked boolean").parquet(path)
 
@@ -223,7 +223,7 @@ def _rare_runs(keys: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     If the similarity of two sets is `least` or more, they share one of their first
     (1 - least) * n + 1 runs in any common order. Runs that one key alone has come first and join nothing.
     """
-    exploded = stored(keys.join(sets, "key").select("key", "elements").mapInArrow(_runs, "key binary, run long"), "runs")
+    exploded = stored(map_arrow(keys.join(sets, "key").select("key", "elements"), _runs, "key binary, run long"), "runs")
     common = exploded.groupBy("run").agg(F.count("*").alias("n")).where("n > 1")
     size = sets.select("key", F.floor(F.octet_length("elements") / 8).alias("size"))
     held = exploded.join(common, "run").join(keys, "key").join(size, "key")
@@ -301,7 +301,7 @@ def classes(docs: DataFrame, run: int = RUN, least: float = SIMILARITY, bands: i
     named = docs.select("doc_id", text.alias("text")).withColumn("text_hash", F.xxhash64("text"))
     kind = named.schema["doc_id"].dataType.simpleString()
     signed = stored(
-        named.select("doc_id", "text_hash", "text").mapInArrow(lambda b: _sign(b, run, bands, rows, counted), f"doc_id {kind}, text_hash long, key binary, weight double, bands array<long>"),
+        map_arrow(named.select("doc_id", "text_hash", "text"), lambda b: _sign(b, run, bands, rows, counted), f"doc_id {kind}, text_hash long, key binary, weight double, bands array<long>"),
         "signatures",
     )
     # Weight and bands are the same for all rows of a key.

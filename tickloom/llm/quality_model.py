@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import slices, texts, with_columns
+from tickloom.llm.common import map_arrow, slices, texts, with_columns
 from tickloom.llm.words import span_hashes, word_hashes
 
 BUCKETS, SHAPES = 1 << 18, 1 << 10
@@ -132,7 +132,7 @@ def fit(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE) -> Model | No
     # A document's copies are held out together; -1 - grade stands for a grade that is.
     held = F.pmod(F.xxhash64("text"), F.lit(HELD_OUT)) == 0
     own = own.select(F.when(held, -1 - F.col("grade")).otherwise(F.col("grade")).alias("grade"), "text")
-    rows = own.mapInArrow(_feature_rows, "grade int, buckets array<int>, values array<float>").toArrow()
+    rows = map_arrow(own, _feature_rows, "grade int, buckets array<int>, values array<float>").toArrow()
     grades = sorted(counts)
     told = rows.column("grade").to_numpy()
     held = told < 0
