@@ -1,4 +1,5 @@
 import random
+from contextlib import contextmanager
 
 import pytest
 
@@ -41,6 +42,31 @@ def odd_docs(spark):
     return df.withColumns({c: F.lit("other") for c in ("row", "key", "words", "n_words", "mark", "span", "score", "lang_pred", "digest", "known", "license", "band", "block", "grade", "kept", "place")})
 
 
+@pytest.fixture
+def noted_jobs(spark):
+    """with noted_jobs() as stages: sees the jobs inside, under 64 shuffle partitions that stay apart; stages() then gives the tasks of each of their stages by job."""
+    context, n = spark.sparkContext, 0
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+
+    @contextmanager
+    def noted():
+        nonlocal n
+        n += 1
+        name, tracker = f"noted-{n}-{random.random()}", context.statusTracker()
+        before = {k: spark.conf.get(k) for k in settings}
+        context.setJobGroup(name, name)
+        try:
+            for k, v in settings.items():
+                spark.conf.set(k, v)
+            yield lambda: {j: [tracker.getStageInfo(s).numTasks for s in tracker.getJobInfo(j).stageIds if tracker.getStageInfo(s)] for j in tracker.getJobIdsForGroup(name)}
+        finally:
+            for k, v in before.items():
+                spark.conf.set(k, v)
+            context.setLocalProperty("spark.jobGroup.id", None)
+
+    return noted
+
+
 @pytest.fixture(scope="session")
 def no_docs(spark):
     return spark.createDataFrame([], DOCS)

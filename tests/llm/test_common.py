@@ -8,7 +8,16 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import with_columns
+from tickloom.llm.common import bitmap, with_columns
+
+
+def test_a_bitmap_takes_few_jobs_whatever_the_shuffle_partitions(spark, noted_jobs):
+    places = [7 * i * i % (1 << 21) for i in range(5000)] + [0, (1 << 21) - 1, 0]
+    with noted_jobs() as stages:
+        found = bitmap(spark.createDataFrame([(p,) for p in places], "place long"), 1 << 21)
+        assert 1 <= len(stages()) < 12
+    assert set(np.flatnonzero(np.unpackbits(found, bitorder="little"))) == set(places)
+    assert not bitmap(spark.createDataFrame([], "place long"), 1 << 20).any()
 
 
 @pytest.mark.skipif(not Path("/proc/self/smaps_rollup").exists(), reason="the memory of a worker is read from /proc")

@@ -112,6 +112,17 @@ def test_components(spark, rng):
     assert components(spark.createDataFrame([], "a string, b string")).count() == 0
 
 
+def test_few_links_are_gathered_before_the_first_step(spark, rng, noted_jobs):
+    links = [(f"{i:03d}", f"{i + 1:03d}") for i in range(60) if i % 20]
+    rng.shuffle(links)
+    table = spark.createDataFrame(links, "a string, b string").coalesce(2)
+    want = components(table).collect()
+    with noted_jobs() as stages:
+        assert sorted(components(table, len(links)).collect()) == sorted(want)
+        assert max(n for tasks in stages().values() for n in tasks) < 64
+    assert components(table.limit(0), 0).count() == 0
+
+
 def test_the_kept_rows_are_whole_whatever_their_columns_are_called(spark):
     text = "one two three four five six seven"
     docs = spark.createDataFrame([(1, text, 99, "x"), (2, text, 77, "y"), (3, "other words that stand here alone", None, None)], "doc_id long, text string, kept_id long, first_hash string")

@@ -1,6 +1,8 @@
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,6 +59,28 @@ def test_a_grade_without_documents_leaves_the_others(spark):
     assert {r.doc_id % 2 for r in quality_model.predict(docs, model).where("selected").collect()} == {0}
 
 
+def test_a_fit_takes_little_memory_beside_its_features():
+    rng = np.random.default_rng(1)
+    n, each = 2000, 1000
+    offsets, buckets = np.arange(0, n * each + 1, each), rng.integers(0, quality_model.WEIGHTS, n * each).astype(np.int32) % 50_000
+    values, grade = rng.random(n * each).astype(np.float32), rng.integers(0, 3, n)
+    tracemalloc.start()
+    weights, _ = quality_model.fit_ordinal(offsets, buckets, values, grade, np.ones(n), 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 15 * n * each and len(weights) == quality_model.WEIGHTS and not weights[50_000:].any()
+
+
+def test_features_are_the_same_after_their_way_to_the_driver():
+    texts = pa.array(["a fine fine text, and more of it", "", "a fine text", "A4 a fine!! text and more"])
+    rows = pa.Table.from_batches(quality_model._feature_rows(iter([pa.RecordBatch.from_arrays([pa.array([0, 1, 2, 2]), texts], ["grade", "text"])])))
+    offsets, buckets, values = quality_model.features(texts)
+    often = np.isin(buckets, np.flatnonzero(np.bincount(buckets) >= 3))
+    got = quality_model._frequent(rows)
+    assert np.array_equal(got[0], [often[:i].sum() for i in offsets]) and np.array_equal(got[1], buckets[often]) and np.array_equal(got[2], values[often])
+    assert sum(len(x) for x in rows.column("values").to_pylist()) < len(values) / 2
+
+
 def test_gradient_finds_ordered_grades():
     rng = np.random.default_rng(0)
     grade = rng.integers(0, 4, 400)

@@ -8,12 +8,16 @@ import uuid
 from contextlib import suppress
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+#: Parts in which a bitmap comes to the driver: a job each, whatever the number of shuffle partitions.
+BITMAP_PARTS = 4
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -69,6 +73,15 @@ def map_arrow(df: DataFrame, task: Callable[[Iterator[pa.RecordBatch]], Iterator
     return df.mapInArrow(run, schema)
 
 
+def bitmap(places: DataFrame, bits: int) -> np.ndarray:
+    """Bits set at the places (a column place, from 0 to bits - 1), as bytes, made in the tasks: 32,768 of them are a row of 4 KB."""
+    out = np.zeros(bits // 8, dtype=np.uint8)
+    made = places.groupBy((F.col("place") / 32768).cast("int").alias("part")).agg(F.expr("bitmap_construct_agg(place % 32768)").alias("bits"))
+    for row in made.repartition(BITMAP_PARTS).toLocalIterator():
+        out[row["part"] * 4096 : (row["part"] + 1) * 4096] = np.frombuffer(bytes(row["bits"]), dtype=np.uint8)
+    return out
+
+
 def with_columns(df: DataFrame, make: Callable[[pa.Array], list[pa.Array]], fields: str, drop: tuple[str, ...] = ()) -> DataFrame:
     """df (without the columns of drop) and the columns `fields` that make gives for slices of the column text, a null as an empty text."""
     names = [c for c in df.columns if c not in drop]

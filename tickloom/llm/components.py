@@ -3,7 +3,7 @@
 A node's neighbours are never gathered: a step needs the least neighbour (a partial aggregation)
 and a join on the node, which skew-join handling may split. Every step is written to the shared
 folder, so that lineage stays short and lost executors cost one step. Links that are few enough for
-one partition stay in one, so that a step is one small task instead of several shuffles.
+one partition are gathered in one, so that a step is one small task instead of several shuffles.
 """
 
 from __future__ import annotations
@@ -36,11 +36,16 @@ def _noted(pairs: DataFrame) -> tuple[DataFrame, tuple[int, object], Shape]:
     return table, (n, found.get("s")), (lambda d: d.coalesce(1)) if n <= PART_ROWS else (lambda d: d)
 
 
-def components(links: DataFrame) -> DataFrame:
-    """node, component (its least node), for every node of links (a, b); loops and repeats don't matter."""
+def components(links: DataFrame, rows: int | None = None) -> DataFrame:
+    """node, component (its least node), for every node of links (a, b); loops and repeats don't matter.
+
+    rows: the number of links where it is known, so that few are gathered before the first step.
+    """
     spark = links.sparkSession
-    ordered = links.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    (now, told, shape), before = _noted(ordered), None
+    ordered = links.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    if rows is not None and rows <= PART_ROWS:
+        ordered = ordered.repartition(1)
+    (now, told, shape), before = _noted(ordered.distinct()), None
     while told != before:
         pairs = shape(now)
         both = shape(pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))))
@@ -51,5 +56,6 @@ def components(links: DataFrame) -> DataFrame:
         after, told, shape = _noted(small)
         discard(spark, now)
         now = after
+    now = shape(now)
     roots = now.select(F.col("v").alias("node")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots.select("node", F.col("node").alias("component")))

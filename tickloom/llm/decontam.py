@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import map_arrow, slices, texts
+from tickloom.llm.common import bitmap, map_arrow, slices, texts
 from tickloom.llm.words import mix, shingles, word_hashes
 
 WINDOW, K = 13, 5
@@ -153,12 +153,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k
     items = map_arrow(named, lambda b: _item_rows(b, window, k), "item_id string, mark long, size int, item_words binary")
     told = items.agg(F.count("*").alias("n"), F.collect_set(F.nullif("size", F.lit(0))).alias("sizes")).first()
     n_bits = min(MOST_BITS, max(LEAST_BITS, 1 << (16 * told["n"]).bit_length()))
-    # 32,768 places make one row: n_bits / 32,768 rows of 4 KB at most.
-    place = F.col("mark").bitwiseAND(n_bits - 1)
-    bitmap = np.zeros(n_bits // 8, dtype=np.uint8)
-    for row in items.groupBy((place / 32768).cast("int").alias("part")).agg(F.expr(f"bitmap_construct_agg(mark & {32767})").alias("bits")).toLocalIterator():
-        bitmap[row["part"] * 4096 : (row["part"] + 1) * 4096] = np.frombuffer(bytes(row["bits"]), dtype=np.uint8)
-    shared, sizes = spark.sparkContext.broadcast(bitmap), sorted(told["sizes"])
+    bits = bitmap(items.select(F.col("mark").bitwiseAND(n_bits - 1).alias("place")), n_bits)
+    shared, sizes = spark.sparkContext.broadcast(bits), sorted(told["sizes"])
 
     key = F.struct("doc_id", F.xxhash64("text").alias("text_hash"), F.monotonically_increasing_id().alias("nr")).alias("row")
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).select(key, "text")

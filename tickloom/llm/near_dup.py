@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import discard, map_arrow, slices, stored, texts, work_path
+from tickloom.llm.common import bitmap, discard, map_arrow, slices, stored, texts, work_path
 from tickloom.llm.components import components
 from tickloom.llm.words import BASE, mix, shingles, word_hashes
 
@@ -163,13 +163,9 @@ def _decide(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Reco
 
 
 def _bitmap(keys: DataFrame) -> np.ndarray:
-    """Bits set for the keys (a column key), MOST_BITS at most, made in the tasks: 4 KB a row."""
+    """Bits set for the keys (a column key), MOST_BITS at most."""
     bits = min(MOST_BITS, max(1 << 20, 1 << (16 * keys.count()).bit_length()))
-    out = np.zeros(bits // 8, dtype=np.uint8)
-    place = F.pmod(F.xxhash64("key"), F.lit(bits))
-    for row in keys.select(place.alias("place")).groupBy((F.col("place") / 32768).cast("int").alias("part")).agg(F.expr("bitmap_construct_agg(place % 32768)").alias("bits")).toLocalIterator():
-        out[row["part"] * 4096 : (row["part"] + 1) * 4096] = np.frombuffer(bytes(row["bits"]), dtype=np.uint8)
-    return out
+    return bitmap(keys.select(F.pmod(F.xxhash64("key"), F.lit(bits)).alias("place")), bits)
 
 
 def _known(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -249,7 +245,7 @@ def _links(members: DataFrame, sets: DataFrame, least: float, counted: bool) ->
     while True:
         told = decided.where("linked").count()
         if told != n_links:  # else the components are still the same
-            n_links, found = told, stored(components(decided.where("linked")).select(F.col("node").alias("key"), "component"), "components")
+            n_links, found = told, stored(components(decided.where("linked"), told).select(F.col("node").alias("key"), "component"), "components")
         placed = members.join(found, "key", "left").withColumn("component", F.coalesce("component", "key"))
         mixed = placed.groupBy("band").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
         live = stored(placed.join(mixed.select("band", "n"), "band"), "live")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import map_arrow, slices, texts, with_columns
+from tickloom.llm.common import map_arrow, release, slices, texts, with_columns
 from tickloom.llm.words import span_hashes, word_hashes
 
 BUCKETS, SHAPES = 1 << 18, 1 << 10
@@ -41,6 +41,8 @@ LEAST_SHARE, LEAST_DOCUMENTS = 0.003, 3
 SAMPLE = 9_000
 #: Rounds of fitting, step, and penalty on squared weights.
 ROUNDS, STEP, PENALTY = 150, 0.05, 2e-4
+#: Features that the driver works on at a time.
+BLOCK = 1 << 18
 #: Characters' kinds in a token's shape: blanks end it; digits, capitals and other letters stand for themselves.
 KIND = np.arange(256, dtype=np.uint8)
 KIND[[9, 10, 11, 12, 13, 32]] = 0
@@ -82,17 +84,48 @@ def _sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return total[offsets[1:]] - total[offsets[:-1]]
 
 
+def _valued(buckets: np.ndarray) -> np.ndarray:
+    """Whether a bucket's features have values of their own; the others' are 1."""
+    return (buckets >= BUCKETS) & (buckets <= BUCKETS + SHAPES)
+
+
 def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """grade, buckets, and the values that aren't 1 throughout, in order: half of what goes to the driver otherwise."""
     for batch in slices(batches, 1):
         offsets, buckets, values = features(texts(batch.column(1)))
-        lists = [pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(x)) for x in (buckets.astype(np.int32), values)]
+        own = _valued(buckets)
+        held = np.concatenate(([0], np.cumsum(own)))[offsets]
+        lists = [pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(x)) for at, x in ((offsets, buckets.astype(np.int32)), (held, values[own]))]
         yield pa.RecordBatch.from_arrays([batch.column(0), *lists], ["grade", "buckets", "values"])
 
 
+def _blocks(offsets: np.ndarray) -> list[tuple[int, int]]:
+    """Rows [first, end) that have about BLOCK features together, one row at least."""
+    ends = np.unique(np.concatenate(([0], np.searchsorted(offsets, np.arange(BLOCK, offsets[-1], BLOCK)), [len(offsets) - 1])))
+    return list(zip(ends[:-1].tolist(), ends[1:].tolist()))
+
+
+def _of_block(offsets: np.ndarray, first: int, end: int) -> tuple[slice, np.ndarray]:
+    """The features of a block, and for each of them its row in the block."""
+    return slice(offsets[first], offsets[end]), np.repeat(np.arange(end - first), np.diff(offsets[first : end + 1]))
+
+
+def _scores(weights: np.ndarray, offsets: np.ndarray, buckets: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The sum of weights times values of each row."""
+    out = np.zeros(len(offsets) - 1)
+    for first, end in _blocks(offsets):
+        part, row = _of_block(offsets, first, end)
+        out[first:end] = np.bincount(row, weights=weights[buckets[part]] * values[part], minlength=end - first)
+    return out
+
+
 def fit_ordinal(offsets: np.ndarray, buckets: np.ndarray, values: np.ndarray, grade: np.ndarray, weight: np.ndarray, n_grades: int) -> tuple[np.ndarray, np.ndarray]:
     """Weights and ordered thresholds of the least penalised loss, by Adam over all rows. grade: 0 to n_grades - 1."""
-    row = np.repeat(np.arange(len(grade)), np.diff(offsets))
-    w = np.zeros(WEIGHTS)
+    # A bucket that no row has keeps the weight 0, so only the others are fitted.
+    used = np.zeros(WEIGHTS, dtype=bool)
+    used[buckets] = True
+    buckets = (np.cumsum(used) - 1).astype(np.int32)[buckets]
+    w = np.zeros(np.count_nonzero(used))
     share = np.clip(np.cumsum(np.bincount(grade, weights=weight, minlength=n_grades))[:-1] / weight.sum(), 1e-3, 1 - 1e-3)
     first = np.log(share / (1 - share))
     gaps = np.log(np.maximum(np.diff(first), 1e-2))
@@ -100,7 +133,7 @@ def fit_ordinal(offsets: np.ndarray, buckets: np.ndarray, values: np.ndarray, gr
     means, squares = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     for turn in range(1, ROUNDS + 1):
         t = np.cumsum(np.concatenate((params[1][:1], np.exp(params[1][1:]))))
-        s = np.bincount(row, weights=params[0][buckets] * values, minlength=len(grade))
+        s = _scores(params[0], offsets, buckets, values)
         edges = np.concatenate(([-np.inf], t, [np.inf]))
         high, low = (1 / (1 + np.exp(np.clip(s - edges[grade + i], -40, 40))) for i in (1, 0))
         p = np.maximum(high - low, 1e-12)
@@ -108,12 +141,18 @@ def fit_ordinal(offsets: np.ndarray, buckets: np.ndarray, values: np.ndarray, gr
         d_s = (d_high - d_low) / weight.sum()
         d_t = np.array([-(d_high[grade == j].sum() - d_low[grade == j + 1].sum()) / weight.sum() for j in range(n_grades - 1)])
         tail = np.cumsum(d_t[::-1])[::-1]
-        grads = [np.bincount(buckets, weights=d_s[row] * values, minlength=len(w)) + PENALTY * params[0], tail * np.concatenate(([1.0], np.exp(params[1][1:])))]
+        d_w = np.zeros(len(w))
+        for begin, end in _blocks(offsets):
+            part, row = _of_block(offsets, begin, end)
+            np.add.at(d_w, buckets[part].astype(np.int64), d_s[begin:end][row] * values[part])
+        grads = [d_w + PENALTY * params[0], tail * np.concatenate(([1.0], np.exp(params[1][1:])))]
         for param, mean, square, grad in zip(params, means, squares, grads):
             mean += 0.1 * (grad - mean)
             square += 0.01 * (grad * grad - square)
             param -= STEP * (mean / (1 - 0.9**turn)) / (np.sqrt(square / (1 - 0.99**turn)) + 1e-8)
-    return params[0].astype(np.float32), np.cumsum(np.concatenate((params[1][:1], np.exp(params[1][1:]))))
+    weights = np.zeros(WEIGHTS, dtype=np.float32)
+    weights[used] = params[0]
+    return weights, np.cumsum(np.concatenate((params[1][:1], np.exp(params[1][1:]))))
 
 
 def fit(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE) -> Model | None:
@@ -139,17 +178,30 @@ def fit(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE) -> Model | No
     grade = np.searchsorted(grades, np.where(held, -1 - told, told))
     if len(np.unique(grade)) < len(grades):
         return None
-    offsets = np.concatenate(([0], np.cumsum(rows.column("buckets").combine_chunks().value_lengths().to_numpy())))
-    buckets, values = (rows.column(c).combine_chunks().flatten().to_numpy() for c in ("buckets", "values"))
-    frequent = np.bincount(buckets, minlength=WEIGHTS)[buckets] >= max(LEAST_DOCUMENTS, LEAST_SHARE * len(grade))
-    rows_of = np.repeat(np.arange(len(grade)), np.diff(offsets))[frequent]
-    offsets, buckets, values = np.concatenate(([0], np.cumsum(np.bincount(rows_of, minlength=len(grade))))), buckets[frequent], values[frequent]
+    offsets, buckets, values = _frequent(rows)
+    del rows
     weight = np.array([counts[g] for g in grades])[grade] / np.bincount(grade)[grade]
     weights, thresholds = fit_ordinal(offsets, buckets, values, grade, weight, len(grades))
     thresholds[-1] += _stricter(offsets, buckets, values, grade, weight, len(grades), held)
+    del offsets, buckets, values
+    release()
     return Model(weights, thresholds, grades)
 
 
+def _frequent(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(offsets, buckets, values) of the features of _feature_rows that enough rows have."""
+    lists = rows.column("buckets").combine_chunks()
+    offsets = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy())))
+    buckets = lists.flatten().to_numpy()
+    values = np.ones(len(buckets), dtype=np.float32)
+    values[_valued(buckets)] = rows.column("values").combine_chunks().flatten().to_numpy()
+    held = sum(np.bincount(buckets[i : i + BLOCK], minlength=WEIGHTS) for i in range(0, len(buckets), BLOCK))
+    # Each text has a feature at least, that of repeated words.
+    frequent = (held >= max(LEAST_DOCUMENTS, LEAST_SHARE * rows.num_rows))[buckets]
+    upto = np.cumsum(frequent, dtype=np.int32)
+    return np.where(offsets > 0, upto[offsets - 1], 0).astype(np.int64), buckets[frequent], values[frequent]
+
+
 def _stricter(offsets: np.ndarray, buckets: np.ndarray, values: np.ndarray, grade: np.ndarray, weight: np.ndarray, n_grades: int, held: np.ndarray) -> float:
     """By how much the threshold of the best grade can rise so that of the rows held out from a fit of their own KEPT of that grade stay; 0 if too few are held out."""
     best = held & (grade == n_grades - 1)
@@ -159,7 +211,7 @@ def _stricter(offsets: np.ndarray, buckets: np.ndarray, values: np.ndarray, grad
     taken = np.repeat(~held, sizes)
     own = np.concatenate(([0], np.cumsum(sizes[~held])))
     weights, thresholds = fit_ordinal(own, buckets[taken], values[taken], grade[~held], weight[~held], n_grades)
-    s = _sums(weights[buckets] * values, offsets)[best]
+    s = _scores(weights, offsets, buckets, values)[best]
     return max(0.0, float(np.quantile(s, 1 - KEPT)) - thresholds[-1])
 
 
